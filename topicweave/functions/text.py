@@ -36,30 +36,21 @@ def split_on(pattern: str) -> Callable[[Column], Column]:
 
 def ngrams(size: int) -> Callable[[Column], Column]:
     """Tokenizer for runs of ``size`` neighbouring words, built inside the row."""
-
-    def build(text: Column) -> Column:
-        parts = words(text)
-        starts = F.when(F.size(parts) >= size, F.sequence(F.lit(1), F.size(parts) - F.lit(size - 1)))
-        return F.coalesce(
-            F.transform(starts, lambda i: F.array_join(F.slice(parts, i, size), " ")),
-            F.array().cast("array<string>"),
-        )
-
-    return build
+    return lambda text: _runs(words(text), size, " ")
 
 
 def char_shingles(size: int) -> Callable[[Column], Column]:
     """Tokenizer for overlapping character runs over letters and digits only."""
+    return lambda text: _runs(matches(F.lower(text), r"[\p{L}\p{N}]"), size, "")
 
-    def build(text: Column) -> Column:
-        letters = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "")
-        starts = F.when(F.length(letters) >= size, F.sequence(F.lit(1), F.length(letters) - F.lit(size - 1)))
-        return F.coalesce(
-            F.transform(starts, lambda i: F.substring(letters, i, F.lit(size))),
-            F.array().cast("array<string>"),
-        )
 
-    return build
+def _runs(parts: Column, size: int, sep: str) -> Column:
+    """Neighbours joined by zipping shifted copies; the lambda sees only its arguments, so ``parts`` is built once."""
+    length = F.greatest(F.size(parts) - F.lit(size - 1), F.lit(0))
+    out = F.slice(parts, F.lit(1), length)
+    for shift in range(1, size):
+        out = F.zip_with(out, F.slice(parts, F.lit(shift + 1), length), lambda a, b: F.concat_ws(sep, a, b))
+    return out
 
 
 def html_text(html: Column) -> Column:

@@ -140,3 +140,32 @@ def mass_by_table(rows: DataFrame, k: int) -> DataFrame:
         F.lit("topics").alias("source"), vectors.total(vectors.items(F.col("nk"), k)).alias("tokens")
     )
     return whole(by_doc, "documents").unionByName(whole(by_word, "words")).unionByName(nk)
+
+
+def independent_samples(counts: DataFrame, k: int, sweeps: int, alpha: float, prior: float) -> tuple[DataFrame, DataFrame]:
+    """``(gamma, beta)`` samples of ``sweeps`` random assignments, long rows with ``iter`` counted from 1.
+
+    A stand-in for a stored chain whose draws are all known in advance.
+    """
+    reps = F.sequence(F.lit(1), F.col("n").cast("int"))
+    drawn = counts.withColumn("iter", F.explode(F.sequence(F.lit(1), F.lit(sweeps)))).withColumn(
+        "_z", F.transform(reps, lambda r: random_topic(k, F.col("iter").cast("string"), F.col("doc_id"), F.col("word"), r))
+    ).withColumn("c", split_counts(F.col("_z"), k)).drop("_z")
+
+    def summed(*keys: str) -> DataFrame:
+        sums = [F.sum(F.col("c")[i]).alias(f"_s{i}") for i in range(k)]
+        cells = F.array(*[F.col(f"_s{i}") for i in range(k)])
+        return drawn.groupBy("iter", *keys).agg(*sums).select("iter", *keys, cells.alias("cnt"))
+
+    cnt = F.col("cnt")
+    whole = vectors.total(vectors.items(cnt, k)) + F.lit(k * alpha)
+    by_doc = summed("doc_id").select(
+        "iter", "doc_id", F.posexplode(F.array(*[(cnt[i] + F.lit(alpha)) / whole for i in range(k)])).alias("topic", "value")
+    )
+    by_word = summed("word")
+    totals = by_word.groupBy("iter").agg(
+        F.array(*[F.sum(cnt[i]) for i in range(k)]).alias("nk"), F.count("*").alias("terms")
+    )
+    ratio = F.array(*[(cnt[i] + F.lit(prior)) / (F.col("nk")[i] + F.lit(prior) * F.col("terms")) for i in range(k)])
+    words = by_word.join(F.broadcast(totals), "iter").select("iter", "word", F.posexplode(ratio).alias("topic", "value"))
+    return by_doc, words
