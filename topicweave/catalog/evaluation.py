@@ -1,0 +1,230 @@
+"""Checkable queries: topics against labels."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from topicweave.catalog.base import ARTICLES, long_sql, query
+from topicweave.catalog.modelling import ETA, GAMMA, K, LABELS, class_labels, gamma_after_sweep
+from topicweave.functions import vectors
+from topicweave.operators import diagnostics, evaluate, ranking
+from topicweave.plans import study
+from topicweave.session import materialize
+from topicweave.sources.tables import articles
+
+
+def features(spark, folder):
+    """``(doc_id, g, category, y)`` after one sweep."""
+    return materialize(gamma_after_sweep(spark, folder).join(class_labels(spark, folder), "doc_id"), "features")
+
+
+FEATURES = f"{GAMMA}, {LABELS}, f AS (SELECT g.*, category, y FROM g JOIN lab USING (doc_id))"
+TOP = "greatest(" + ", ".join(f"g{i}" for i in range(K)) + ")"
+BEST = "CASE " + " ".join(f"WHEN g{i} = {TOP} THEN {i}" for i in range(K)) + " END"
+LONG_G = "lg AS (" + long_sql(K, "f", "doc_id", lambda i: f"g{i}", "value", ", category, y") + ")"
+
+
+@query("w2_best_topic", f"WITH {GAMMA} SELECT doc_id, {BEST} AS topic FROM g")
+def _(spark, folder):
+    return ranking.best_topic(gamma_after_sweep(spark, folder)).select("doc_id", "topic")
+
+
+@query("w2b_best_topics_with_ties", f"""WITH {FEATURES}, {LONG_G},
+r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY value DESC) AS rk FROM lg)
+SELECT doc_id, topic, round(value, 9) AS value FROM r WHERE rk = 1""")
+def _(spark, folder):
+    rows = ranking.best_topics_with_ties(gamma_after_sweep(spark, folder))
+    return rows.withColumn("value", F.round("value", 9))
+
+
+@query("o5_top_topics", f"""WITH {FEATURES}, {LONG_G},
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY value DESC, topic) AS place FROM lg)
+SELECT doc_id, place::INT AS place, topic, round(value, 9) AS value FROM r WHERE place <= 3""")
+def _(spark, folder):
+    return ranking.top_topics(gamma_after_sweep(spark, folder), 3).withColumn("value", F.round("value", 9))
+
+
+@query("o3_category_order", f"""WITH {FEATURES}, {LONG_G}
+SELECT category, round(avg(value * (topic + 1)), 9) AS score FROM lg GROUP BY category ORDER BY score""")
+def _(spark, folder):
+    f = features(spark, folder)
+    return ranking.category_order(f, f).withColumn("score", F.round("score", 9))
+
+
+@query("p13_share_above", f"""WITH {FEATURES}
+SELECT category, round(avg((g1 > 0.3)::INT), 9) AS share, count(*)::BIGINT AS docs FROM f GROUP BY category""")
+def _(spark, folder):
+    rows = evaluate.share_above(features(spark, folder), 1, 0.3)
+    return rows.withColumn("share", F.round("share", 9))
+
+
+@query("j4_join_metadata", f"""WITH {GAMMA}, {ARTICLES}
+SELECT doc_id, {BEST} AS topic, headline, category FROM g LEFT JOIN articles USING (doc_id)""")
+def _(spark, folder):
+    best = ranking.best_topic(gamma_after_sweep(spark, folder)).select("doc_id", "topic")
+    return best.join(articles(spark, folder).select("doc_id", "headline", "category"), "doc_id", "left")
+
+
+@query("a7_topic_by_category", f"WITH {FEATURES} SELECT {BEST} AS topic, category, count(*)::BIGINT AS docs FROM f GROUP BY 1, 2")
+def _(spark, folder):
+    f = features(spark, folder)
+    return evaluate.topic_by_category(ranking.best_topic(f), f)
+
+
+@query("a31_topic_histogram", f"WITH {FEATURES} SELECT {BEST} AS topic, count(*)::BIGINT AS docs FROM f GROUP BY 1")
+def _(spark, folder):
+    return ranking.best_topic(features(spark, folder)).groupBy("topic").agg(F.count("*").alias("docs"))
+
+
+@query("a30_box_statistics", f"WITH {FEATURES}, {LONG_G} " + " UNION ALL ".join(
+    f"SELECT category, topic, {p}::DOUBLE AS prob, round(quantile_cont(value, {p}), 9) AS quantile FROM lg GROUP BY category, topic"
+    for p in (0.0, 0.25, 0.5, 0.75, 1.0)))
+def _(spark, folder):
+    f = features(spark, folder)
+    long = f.select("category", F.posexplode_outer("g").alias("topic", "value"))
+    rows = diagnostics.quantiles(long, "value", [0.0, 0.25, 0.5, 0.75, 1.0], ["category", "topic"])
+    return rows.withColumn("quantile", F.round("quantile", 9))
+
+
+@query("a19_class_sizes", f"WITH {LABELS} SELECT y, count(*)::BIGINT AS docs, min(category) AS category FROM lab GROUP BY y")
+def _(spark, folder):
+    return evaluate.class_sizes(class_labels(spark, folder))
+
+
+COST = "cost AS (SELECT y, topic, count(*) - sum(value) AS cost FROM lg GROUP BY y, topic)"
+
+
+def permutations_sql(k: int, cost: str = "cost", name: str = "m") -> str:
+    """CTE ``m(y, topic, total_cost)``: the cheapest one-to-one assignment by trying all of them."""
+    tables = ", ".join(f"{cost} a{i}" for i in range(k))
+    rows = " AND ".join(f"a{i}.y = {i}" for i in range(k))
+    apart = " AND ".join(f"a{i}.topic <> a{j}.topic" for i in range(k) for j in range(i + 1, k))
+    total = " + ".join(f"a{i}.cost" for i in range(k))
+    order = ", ".join(f"a{i}.topic" for i in range(k))
+    picks = " UNION ALL ".join(f"SELECT {i} AS y, t{i} AS topic, total_cost FROM best_{name}" for i in range(k))
+    names = ", ".join(f"a{i}.topic AS t{i}" for i in range(k))
+    return f"""best_{name} AS (SELECT {names}, {total} AS total_cost FROM {tables} WHERE {rows} AND {apart}
+  ORDER BY total_cost, {order} LIMIT 1),
+{name} AS ({picks})"""
+
+
+MATCHED = f"{FEATURES}, {LONG_G}, {COST}, {permutations_sql(K)}"
+
+
+@query("a14_assignment_cost", f"WITH {FEATURES}, {LONG_G}, {COST} SELECT y, topic, round(cost, 6) AS cost FROM cost")
+def _(spark, folder):
+    return evaluate.assignment_cost(features(spark, folder), K).withColumn("cost", F.round("cost", 6))
+
+
+@query("a15_squared_cost", f"""WITH {FEATURES}, {LONG_G}
+SELECT y, topic, round(sum(pow((y = topic)::INT - value, 2)), 6) AS cost FROM lg GROUP BY y, topic""")
+def _(spark, folder):
+    return evaluate.squared_cost(features(spark, folder), K).withColumn("cost", F.round("cost", 6))
+
+
+@query("a15_plain_squared_cost", f"""WITH {FEATURES}, {LONG_G}
+SELECT y, topic, round(sum(pow(1 - value, 2)), 6) AS cost FROM lg GROUP BY y, topic""")
+def _(spark, folder):
+    return evaluate.squared_cost(features(spark, folder), K, "plain").withColumn("cost", F.round("cost", 6))
+
+
+@query("m16_topic_mapping", f"WITH {MATCHED} SELECT y, topic, round(total_cost, 6) AS total_cost FROM m")
+def _(spark, folder):
+    rows = evaluate.match_topics(evaluate.assignment_cost(features(spark, folder), K), K)
+    return rows.withColumn("total_cost", F.round("total_cost", 6))
+
+
+def mapped(spark, folder):
+    f = features(spark, folder)
+    mapping = evaluate.match_topics(evaluate.assignment_cost(f, K), K)
+    return evaluate.mapped_prediction(ranking.best_topic(f), mapping)
+
+
+PRED = f"{MATCHED}, b AS (SELECT doc_id, y, {BEST} AS topic FROM f), p AS (SELECT b.doc_id, b.y, m.y AS pred FROM b JOIN m USING (topic))"
+
+
+@query("m17_mapped_prediction", f"WITH {PRED} SELECT doc_id, y, pred FROM p")
+def _(spark, folder):
+    return mapped(spark, folder).select("doc_id", "y", "pred")
+
+
+@query("j9_label_alignment", f"""WITH {PRED}
+SELECT y, count(*)::BIGINT AS docs, sum((y = pred)::INT)::BIGINT AS hits FROM p GROUP BY y""")
+def _(spark, folder):
+    return mapped(spark, folder).groupBy("y").agg(
+        F.count("*").alias("docs"), F.count_if(F.col("y") == F.col("pred")).alias("hits")
+    )
+
+
+@query("a16_accuracy_by_class", f"""WITH {PRED}
+SELECT y, round(avg((y = pred)::INT), 9) AS accuracy, count(*)::BIGINT AS docs FROM p GROUP BY y""")
+def _(spark, folder):
+    return evaluate.accuracy_by_class(mapped(spark, folder)).withColumn("accuracy", F.round("accuracy", 9))
+
+
+@query("a17_accuracy", f"WITH {PRED} SELECT round(avg((y = pred)::INT), 9) AS accuracy, count(*)::BIGINT AS docs FROM p")
+def _(spark, folder):
+    return evaluate.accuracy(mapped(spark, folder)).withColumn("accuracy", F.round("accuracy", 9))
+
+
+@query("a18_confusion", f"WITH {PRED} SELECT y, pred, count(*)::BIGINT AS docs FROM p GROUP BY y, pred")
+def _(spark, folder):
+    return evaluate.confusion(mapped(spark, folder))
+
+
+@query("t15_rearranged_features", f"WITH {MATCHED} SELECT doc_id, " + ", ".join(
+    f"round(CASE (SELECT topic FROM m WHERE y = {i}) " + " ".join(f"WHEN {t} THEN g{t}" for t in range(K)) + f" END, 9) AS g{i}"
+    for i in range(K)) + " FROM f")
+def _(spark, folder):
+    f = features(spark, folder)
+    mapping = evaluate.match_topics(evaluate.assignment_cost(f, K), K)
+    moved = evaluate.rearranged(f, mapping, K)
+    return moved.select("doc_id", *[F.round(F.col("g")[i], 9).alias(f"g{i}") for i in range(K)])
+
+
+@query("t12_vector_functions", f"""WITH {GAMMA},
+e AS (SELECT doc_id, g0, g1, exp(g0) AS e0, exp(g1) AS e1, exp(g2) AS e2, exp(g3) AS e3,
+      sqrt(g0 * g0 + g1 * g1 + g2 * g2 + g3 * g3) AS norm FROM g)
+SELECT doc_id, round(e0 / (e0 + e1 + e2 + e3), 9) AS soft0, round(e3 / (e0 + e1 + e2 + e3), 9) AS soft3,
+       round(ln(g0), 9) AS log0, round(pow(g1, 3), 9) AS cube1, round(norm, 9) AS norm FROM e""")
+def _(spark, folder):
+    g = [F.col("g")[i] for i in range(K)]
+    soft = vectors.softmax(g)
+    return gamma_after_sweep(spark, folder).select(
+        "doc_id", F.round(soft[0], 9).alias("soft0"), F.round(soft[3], 9).alias("soft3"),
+        F.round(F.log(g[0]), 9).alias("log0"), F.round(F.pow(g[1], F.lit(3.0)), 9).alias("cube1"),
+        F.round(vectors.norm2(g), 9).alias("norm"),
+    )
+
+
+@query("t13_one_hot_labels", f"WITH {LABELS} SELECT doc_id, " + ", ".join(f"(y = {i})::INT::DOUBLE AS y{i}" for i in range(K)) + " FROM lab")
+def _(spark, folder):
+    hot = vectors.one_hot(F.col("y"), K)
+    return class_labels(spark, folder).select("doc_id", *[hot[i].alias(f"y{i}") for i in range(K)])
+
+
+def _score(j: int) -> str:
+    return "(" + " + ".join(f"g{i} * ({ETA[i][j]}::DOUBLE)" for i in range(K)) + ")"
+
+
+SCORES = ", ".join(f"{_score(j)} AS s{j}" for j in range(K))
+TOP_S = "greatest(" + ", ".join(f"s{j}" for j in range(K)) + ")"
+PRED_S = "CASE " + " ".join(f"WHEN s{j} = {TOP_S} THEN {j}" for j in range(K)) + " END"
+
+
+@query("t14_matrix_product", f"WITH {FEATURES}, s AS (SELECT doc_id, {SCORES} FROM f) SELECT doc_id, "
+       + ", ".join(f"round(s{j}, 9) AS s{j}" for j in range(K)) + f", {PRED_S} AS pred FROM s")
+def _(spark, folder):
+    rows = evaluate.predicted(features(spark, folder), ETA).withColumn("s", vectors.times_matrix(F.col("g"), ETA))
+    return rows.select("doc_id", *[F.round(F.col("s")[j], 9).alias(f"s{j}") for j in range(K)], "pred")
+
+
+@query("m18_predict_by_head", f"""WITH {FEATURES}, s AS (SELECT doc_id, y, {SCORES} FROM f)
+SELECT y, {PRED_S} AS pred, count(*)::BIGINT AS docs FROM s GROUP BY 1, 2""")
+def _(spark, folder):
+    return evaluate.confusion(evaluate.predicted(features(spark, folder), ETA))
+
+
+@query("m20_study")
+def _(spark, folder):
+    return study.run_study(spark, folder, [["en", "fr"], ["en", "fr", "de"], ["en", "fr", "de", "es"]], sweeps=3)

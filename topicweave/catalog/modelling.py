@@ -123,7 +123,7 @@ def _(spark, folder):
 def _(spark, folder):
     blocks = topic_counts.random_blocks(corpus_of(spark, folder), K, 7)
     totals = topic_counts.topic_totals(topic_counts.counts_by(blocks, "word", K), K)
-    return totals.select(F.posexplode("nk").alias("topic", "cnt"))
+    return totals.select(F.posexplode_outer("nk").alias("topic", "cnt"))
 
 
 @query("a33_mass_by_document", f"WITH {CORPUS} SELECT doc_id, sum(n)::BIGINT AS counted, sum(n)::BIGINT AS assigned FROM corpus GROUP BY doc_id")
@@ -215,7 +215,7 @@ def _(spark, folder):
 def _(spark, folder):
     chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(2, keep_from=1)
     return chain.samples("gamma").select(
-        "iter", "doc_id", F.posexplode("g").alias("topic", "value")
+        "iter", "doc_id", F.posexplode_outer("g").alias("topic", "value")
     ).withColumn("value", F.round("value", 9))
 
 
@@ -225,7 +225,7 @@ def _(spark, folder):
 def _(spark, folder):
     chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(2, keep_from=1)
     return chain.samples("beta").select(
-        "iter", "word", F.posexplode("b").alias("topic", "value")
+        "iter", "word", F.posexplode_outer("b").alias("topic", "value")
     ).withColumn("value", F.round("value", 9))
 
 
@@ -264,7 +264,7 @@ M8_LABEL = (
 @query("m8_label_weights", M8_LABEL)
 def _(spark, folder):
     weighted = gibbs.weigh(
-        start_state(spark, folder), MODEL, gibbs.label_boost(ETA, K, F.col("n")),
+        start_state(spark, folder), MODEL, gibbs.label_boost(ETA, K),
         class_labels(spark, folder).select("doc_id", "y"),
     )
     return weighted.select("doc_id", "word", *[F.round(F.col("p")[i], 8).alias(f"p{i}") for i in range(K)])
@@ -296,7 +296,8 @@ def _(spark, folder):
     state = gibbs.sweep_once(
         start_state(spark, folder), MODEL, 1, gibbs.ratio_boost(zero, K)
     )
-    return state.select(F.posexplode("c").alias("topic", "c")).groupBy("topic").agg(F.sum("c").alias("tokens"))
+    totals = topic_counts.topic_totals(topic_counts.counts_by(state, "word", K), K)
+    return totals.select(F.posexplode_outer("nk").alias("topic", "tokens"))
 
 
 @query("m4_gibbs_chain", f"""WITH {CORPUS}

@@ -17,6 +17,15 @@ def total(parts: list[Column]) -> Column:
     return out
 
 
+def stored(parts: list[Column]) -> Column:
+    """The parts as an array that later columns read instead of repeating its expressions.
+
+    A plain array would be taken apart by the optimiser and every part pasted into each of its readers, which multiplies
+    the size of long expressions; the element-wise pass keeps the array whole.
+    """
+    return F.transform(F.array(*parts), lambda x: x)
+
+
 def scaled(vector: Column, size: int) -> Column:
     """Vector divided by its own sum."""
     entries = items(vector, size)

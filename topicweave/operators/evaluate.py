@@ -49,7 +49,7 @@ def _class_topic(features: DataFrame, k: int, cell) -> DataFrame:
     """``(y, topic, cost)``: one partial aggregate per topic, so each class costs K numbers whatever its size."""
     sums = [cell(F.col("g")[i], i).alias(f"_c{i}") for i in range(k)]
     packed = F.array(*[F.col(f"_c{i}").cast("double") for i in range(k)])
-    return features.groupBy("y").agg(*sums).select("y", F.posexplode(packed).alias("topic", "cost"))
+    return features.groupBy("y").agg(*sums).select("y", F.posexplode_outer(packed).alias("topic", "cost"))
 
 
 def assignment_cost(features: DataFrame, k: int) -> DataFrame:
@@ -99,7 +99,7 @@ def match_topics(cost: DataFrame, k: int) -> DataFrame:
             ).select("best.path", "best.total", "cells")
     best = paths.agg(F.min(F.struct("total", "path")).alias("best"))
     return best.select(
-        F.posexplode("best.path").alias("y", "topic"), F.col("best.total").alias("total_cost")
+        F.posexplode_outer("best.path").alias("y", "topic"), F.col("best.total").alias("total_cost")
     )
 
 

@@ -213,17 +213,18 @@ def best_run(scores: DataFrame, score: str = "cv_score") -> DataFrame:
 
 # -- softmax -----------------------------------------------------------------------------------------------------------
 
-def _scores(vector: Column, eta: Matrix, k: int) -> list[Column]:
-    scored = vectors.times_matrix(vector, eta)
-    return [scored[j] for j in range(k)]
+def _with_scores(features: DataFrame, eta: Matrix, k: int) -> DataFrame:
+    """Class scores ``_s`` and their log normaliser ``_norm``."""
+    scored = vectors.times_matrix(F.col("g"), eta)
+    rows = features.withColumn("_s", vectors.stored([scored[j] for j in range(k)]))
+    return rows.withColumn("_norm", vectors.log_sum_exp(vectors.items(F.col("_s"), k)))
 
 
 def softmax_loss(features: DataFrame, eta: Matrix, k: int, ridge: float = 0.5) -> DataFrame:
     """Mean negative log probability of the own class plus the ridge term."""
-    scores = _scores(F.col("g"), eta, k)
-    own = F.element_at(F.array(*scores), F.col("y") + 1)
+    own = F.element_at("_s", F.col("y") + 1)
     penalty = ridge * sum(e * e for row in eta for e in row) / 2
-    return features.agg((F.avg(vectors.log_sum_exp(scores) - own) + F.lit(float(penalty))).alias("loss"))
+    return _with_scores(features, eta, k).agg((F.avg(F.col("_norm") - own) + F.lit(float(penalty))).alias("loss"))
 
 
 def minibatch(features: DataFrame, size: int, seed) -> DataFrame:
@@ -233,7 +234,8 @@ def minibatch(features: DataFrame, size: int, seed) -> DataFrame:
 
 def softmax_gradient(features: DataFrame, eta: Matrix, k: int, ridge: float = 0.5) -> DataFrame:
     """``(topic, class, gradient)`` of the mean loss with the ridge term."""
-    chance = vectors.softmax(_scores(F.col("g"), eta, k))
+    rows = _with_scores(features, eta, k)
+    chance = [F.exp(F.col("_s")[j] - F.col("_norm")) for j in range(k)]
     cells = [
         F.avg(F.col("g")[i] * (chance[j] - (F.col("y") == j).cast("double"))).alias(f"_g{i}_{j}")
         for i in range(k) for j in range(k)
@@ -245,7 +247,7 @@ def softmax_gradient(features: DataFrame, eta: Matrix, k: int, ridge: float = 0.
         )
         for i in range(k) for j in range(k)
     ])
-    return features.agg(*cells).select(F.explode(pairs).alias("c")).select("c.*")
+    return rows.agg(*cells).select(F.explode(pairs).alias("c")).select("c.*")
 
 
 def as_matrix(gradient: DataFrame, k: int) -> Matrix:
@@ -285,8 +287,8 @@ def _document_terms(blocks: DataFrame, eta: Matrix, k: int, slopes: bool) -> Dat
     """Per document: log factors ``L`` by class, mean probabilities ``g`` and, if asked, the slopes by (topic, class)."""
     p, n, doc_n = F.col("p"), F.col("n"), F.col("doc_n")
     raised = [[F.exp(F.lit(float(eta[i][c])) / doc_n) for c in range(k)] for i in range(k)]
-    inner = F.array(*[vectors.total([p[i] * raised[i][c] for i in range(k)]) for c in range(k)])
-    rows = blocks.withColumn("_in", inner)
+    inner = [vectors.total([p[i] * raised[i][c] for i in range(k)]) for c in range(k)]
+    rows = blocks.withColumn("_in", vectors.stored(inner))
     inside = F.col("_in")
     sums = [F.sum(n * F.log(inside[c])).alias(f"_l{c}") for c in range(k)]
     sums += [F.sum(n * p[i] / doc_n).alias(f"_p{i}") for i in range(k)]
@@ -312,7 +314,9 @@ def slda_loglik(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> Da
 def slda_gradient(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> DataFrame:
     """``(topic, class, gradient)`` of :func:`slda_loglik`."""
     docs = _document_terms(blocks, eta, k, slopes=True).join(labels.select("doc_id", "y"), "doc_id")
-    chance = vectors.softmax([F.col(f"_l{c}") for c in range(k)])
+    logs = [F.col(f"_l{c}") for c in range(k)]
+    docs = docs.withColumn("_norm", vectors.log_sum_exp(logs))
+    chance = [F.exp(log - F.col("_norm")) for log in logs]
     cells = [
         F.sum(
             F.when(F.col("y") == c, F.col(f"_p{i}")).otherwise(F.lit(0.0)) - chance[c] * F.col(f"_d{i}_{c}")

@@ -27,7 +27,7 @@ def best_topic(vectors: DataFrame, vector: str = "g", name: str = "topic") -> Da
 def best_topics_with_ties(vectors: DataFrame, key: str = "doc_id", vector: str = "g") -> DataFrame:
     """One row per topic that reaches the document's largest weight."""
     return (
-        vectors.select(key, F.array_max(vector).alias("top"), F.posexplode(vector).alias("topic", "value"))
+        vectors.select(key, F.array_max(vector).alias("top"), F.posexplode_outer(vector).alias("topic", "value"))
         .where(F.col("value") == F.col("top"))
         .select(key, "topic", "value")
     )
@@ -37,7 +37,7 @@ def top_topics(vectors: DataFrame, n: int, key: str = "doc_id", vector: str = "g
     """The ``n`` heaviest topics of each document, sorted inside the row."""
     pairs = F.transform(F.col(vector), lambda g, i: F.struct((-g).alias("neg"), i.alias("topic"), g.alias("value")))
     ranked = F.slice(F.array_sort(pairs), 1, n)
-    return vectors.select(key, F.posexplode(ranked).alias("at", "pair")).select(
+    return vectors.select(key, F.posexplode_outer(ranked).alias("at", "pair")).select(
         key, (F.col("at") + 1).alias("place"), "pair.topic", "pair.value"
     )
 
@@ -48,7 +48,7 @@ def sorted_terms(rows: DataFrame, value: str = "beta") -> DataFrame:
 
 def category_order(vectors: DataFrame, labels: DataFrame, vector: str = "g") -> DataFrame:
     """Categories by the mean of weight times topic number (topics numbered from 1)."""
-    long = vectors.select("doc_id", F.posexplode(vector).alias("at", "value"))
+    long = vectors.select("doc_id", F.posexplode_outer(vector).alias("at", "value"))
     scored = long.join(labels.select("doc_id", "category"), "doc_id")
     return (
         scored.groupBy("category")

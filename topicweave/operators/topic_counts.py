@@ -102,8 +102,11 @@ def beta(by_word: DataFrame, k: int, prior: float) -> DataFrame:
 
 
 def tidy(matrix: DataFrame, key: str, vector: str, value: str) -> DataFrame:
-    """Vectors to long rows ``(key, topic, value)``."""
-    return matrix.select(key, F.posexplode(vector).alias("topic", value))
+    """Vectors to long rows ``(key, topic, value)``.
+
+    The outer form adds no filter on the vector, which would be pushed down and repeat the vector's expressions.
+    """
+    return matrix.select(key, F.posexplode_outer(vector).alias("topic", value))
 
 
 def spread_topics(long: DataFrame, key: str, value: str, k: int, prefix: str = "topic_") -> DataFrame:
@@ -160,12 +163,12 @@ def independent_samples(counts: DataFrame, k: int, sweeps: int, alpha: float, pr
     cnt = F.col("cnt")
     whole = vectors.total(vectors.items(cnt, k)) + F.lit(k * alpha)
     by_doc = summed("doc_id").select(
-        "iter", "doc_id", F.posexplode(F.array(*[(cnt[i] + F.lit(alpha)) / whole for i in range(k)])).alias("topic", "value")
+        "iter", "doc_id", F.posexplode_outer(F.array(*[(cnt[i] + F.lit(alpha)) / whole for i in range(k)])).alias("topic", "value")
     )
     by_word = summed("word")
     totals = by_word.groupBy("iter").agg(
         F.array(*[F.sum(cnt[i]) for i in range(k)]).alias("nk"), F.count("*").alias("terms")
     )
     ratio = F.array(*[(cnt[i] + F.lit(prior)) / (F.col("nk")[i] + F.lit(prior) * F.col("terms")) for i in range(k)])
-    words = by_word.join(F.broadcast(totals), "iter").select("iter", "word", F.posexplode(ratio).alias("topic", "value"))
+    words = by_word.join(F.broadcast(totals), "iter").select("iter", "word", F.posexplode_outer(ratio).alias("topic", "value"))
     return by_doc, words

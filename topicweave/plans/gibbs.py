@@ -54,12 +54,13 @@ def count_tables(state: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | None = None) -> DataFrame:
     """State with unnormalised topic weights ``p`` and the document length ``doc_n``.
 
-    ``boost(own, doc, doc_n)`` may return K factors for the weights; ``doc_extra`` adds per-document columns for it.
+    ``boost(rows, own)`` may add a column ``f`` of K factors for the weights; it sees the document counts ``d`` and
+    ``doc_n``. ``doc_extra`` adds per-document columns for it.
     """
     k = model.k
     by_doc, by_word = count_tables(state, k)
     totals = topic_counts.topic_totals(by_word, k).select(F.struct("nk", "terms")).scalar()
-    docs = by_doc.withColumnRenamed("cnt", "d")
+    docs = by_doc.select("doc_id", "ds", F.col("cnt").alias("d"), vectors.total(vectors.items(F.col("cnt"), k)).alias("doc_n"))
     if doc_extra is not None:
         docs = docs.join(doc_extra, "doc_id")
     docs = skew.repeat_rows(docs, "ds", "_dp")
@@ -78,17 +79,17 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
         / (t["nk"][i] - own[i] + F.lit(model.beta) * t["terms"])
         for i in range(k)
     ]
-    doc_n = vectors.total(vectors.items(d, k))
     if boost is not None:
-        weights = [p * factor for p, factor in zip(weights, boost(own, d, doc_n))]
-    return rows.select(*state.columns, doc_n.alias("doc_n"), F.array(*weights).alias("p"))
+        rows = boost(rows, own)
+        weights = [p * F.col("f")[i] for i, p in enumerate(weights)]
+    return rows.select(*state.columns, "doc_n", vectors.stored(weights).alias("p"))
 
 
 def draw(weighted: DataFrame, model: Model, sweep: int) -> DataFrame:
     """New topics for every row, by inverse CDF of the weights."""
     k = model.k
     bounds = draws.running_totals([F.col("p")[i] for i in range(k)])
-    rows = weighted.withColumn("_b", F.array(*bounds))
+    rows = weighted.withColumn("_b", vectors.stored(bounds))
     limits = [F.col("_b")[i] for i in range(k)]
 
     def topic(rep: Column) -> Column:
@@ -120,35 +121,43 @@ def ratio_boost(eta: list[list[float]], k: int):
 
     ``eta[c]`` holds the coefficients of class c. An empty remainder counts as the zero vector.
     """
-    def boost(own, d, doc_n):
+    def boost(rows: DataFrame, own: list[Column]) -> DataFrame:
+        d, doc_n = F.col("d"), F.col("doc_n")
         left_n = doc_n - vectors.total(own)
         with_block = [vectors.total([F.lit(float(eta[c][i])) * d[i] / doc_n for i in range(k)]) for c in range(k)]
         without = [
-            vectors.total([
-                F.when(left_n > 0, F.lit(float(eta[c][i])) * (d[i] - own[i]) / left_n).otherwise(F.lit(0.0))
-                for i in range(k)
-            ])
+            F.when(
+                left_n > 0, vectors.total([F.lit(float(eta[c][i])) * (d[i] - own[i]) / left_n for i in range(k)])
+            ).otherwise(F.lit(0.0))
             for c in range(k)
         ]
-        top, bottom = vectors.softmax(with_block), vectors.softmax(without)
-        return [a / b for a, b in zip(top, bottom)]
+        rows = rows.withColumn("_s1", vectors.stored(with_block)).withColumn("_s0", vectors.stored(without))
+        first, second = vectors.items(F.col("_s1"), k), vectors.items(F.col("_s0"), k)
+        rows = rows.withColumn("_shift", vectors.log_sum_exp(second) - vectors.log_sum_exp(first))
+        return rows.withColumn(
+            "f", vectors.stored([F.exp(a - b + F.col("_shift")) for a, b in zip(first, second)])
+        )
 
     return boost
 
 
-def label_boost(eta: list[list[float]], k: int, n: Column):
-    """Factor for topic i: probability of the document's own class ``y`` if the whole block moved to topic i."""
-    def boost(own, d, doc_n):
+def label_boost(eta: list[list[float]], k: int):
+    """Factor for topic i: probability of the document's own class ``y`` if the whole block moved to topic i.
+
+    Scores are weighted means of ``eta``, so their exponentials need no rescaling.
+    """
+    def boost(rows: DataFrame, own: list[Column]) -> DataFrame:
+        d, doc_n, classes = F.col("d"), F.col("doc_n"), range(len(eta))
+        size = vectors.total(own) / doc_n
         rest = [
-            vectors.total([F.lit(float(eta[c][i])) * (d[i] - own[i]) / doc_n for i in range(k)])
-            for c in range(len(eta))
+            F.exp(vectors.total([F.lit(float(eta[c][i])) * (d[i] - own[i]) / doc_n for i in range(k)])) for c in classes
         ]
+        rows = rows.withColumn("_rest", vectors.stored(rest)).withColumn("_size", size)
         factors = []
         for i in range(k):
-            scores = [rest[c] + F.lit(float(eta[c][i])) * n / doc_n for c in range(len(eta))]
-            own_score = F.element_at(F.array(*scores), F.col("y") + 1)
-            factors.append(F.exp(own_score - vectors.log_sum_exp(scores)))
-        return factors
+            moved = [F.col("_rest")[c] * F.exp(F.lit(float(eta[c][i])) * F.col("_size")) for c in classes]
+            factors.append(F.element_at(F.array(*moved), F.col("y") + 1) / vectors.total(moved))
+        return rows.withColumn("f", vectors.stored(factors))
 
     return boost
 
