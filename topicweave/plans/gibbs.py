@@ -86,23 +86,29 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
 
 
 def draw(weighted: DataFrame, model: Model, sweep: int) -> DataFrame:
-    """New topics for every row, by inverse CDF of the weights."""
+    """New topics for every row, by inverse CDF of the weights.
+
+    The hash of each token is a column of its own, so it is computed once and not once per topic.
+    """
     k = model.k
     bounds = draws.running_totals([F.col("p")[i] for i in range(k)])
-    rows = weighted.withColumn("_b", vectors.stored(bounds))
-    limits = [F.col("_b")[i] for i in range(k)]
+    rows = weighted.withColumn("_b", vectors.stored(bounds)).withColumn("_below", F.slice("_b", 1, k - 1))
 
-    def topic(rep: Column) -> Column:
+    def target(rep: Column) -> Column:
         u = draws.uniform(F.col("doc_id"), F.col("word"), rep, f"{model.seed}.{sweep}")
-        return draws.pick(u, limits)
+        return u * F.element_at("_b", -1)
+
+    def topic(at: Column) -> Column:
+        return F.size(F.filter("_below", lambda bound: at >= bound))
 
     if model.grain == "token":
-        return rows.withColumn("z", topic(F.col("rep"))).drop("_b", "p", "doc_n")
-    single = topic(F.lit(1))
-    many = F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), topic)
-    rows = rows.withColumn("_z", F.when(F.col("n") == 1, F.array(single)).otherwise(many))
-    drawn = topic_counts.split_counts(F.col("_z"), k)
-    return rows.withColumn("c", drawn).drop("_b", "_z", "p", "doc_n")
+        rows = rows.withColumn("_at", target(F.col("rep")))
+        return rows.withColumn("z", topic(F.col("_at"))).drop("_b", "_below", "_at", "p", "doc_n")
+    copies = F.sequence(F.lit(1), F.col("n").cast("int"))
+    rows = rows.withColumn("_at", F.transform(copies, target)).withColumn("_z", F.transform("_at", topic))
+    single = F.array(*[(F.col("_z")[0] == i).cast("int") for i in range(k)])
+    drawn = F.when(F.col("n") == 1, single).otherwise(topic_counts.split_counts(F.col("_z"), k))
+    return rows.withColumn("c", drawn).drop("_b", "_below", "_at", "_z", "p", "doc_n")
 
 
 def sweep_once(state: DataFrame, model: Model, sweep: int, boost=None, doc_extra=None) -> DataFrame:
