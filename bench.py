@@ -57,7 +57,8 @@ def main() -> None:
     ):
         chain = gibbs.Chain(spark, model)
         timed(f"{name}_start", lambda: chain.start(counts))
-        chain.run(1)
+        if model.k < 10:
+            chain.run(1)
         timed(f"{name}_sweep", lambda: chain.run(1))
         if name == "block_k4":
             last = chain
