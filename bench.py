@@ -44,11 +44,11 @@ def main() -> None:
     timed("term_counts", lambda: drain(clean.term_counts(docs)))
     timed("top_terms_by_category", lambda: study.top_terms_by_category(spark, folder).collect())
     counts = timed("filtered_counts", lambda: materialize(clean.filtered_counts(docs), "counts"))
-    timed("bigrams", lambda: drain(cleaning.token_rows(clean.spread_small_input(docs), text.ngrams(2), name="ngram")))
+    timed("bigrams", lambda: drain(cleaning.token_rows(docs, text.ngrams(2), name="ngram")))
     pages = table(spark, folder, "pages")
     timed("html_tokens", lambda: drain(
         cleaning.token_rows(
-            clean.spread_small_input(pages).select("page_id", text.html_text(F.col("html")).alias("text")), keys=("page_id",)
+            pages.select("page_id", text.html_text(F.col("html")).alias("text")), keys=("page_id",)
         ).groupBy("page_id", "word").count()
     ))
     for name, model in (

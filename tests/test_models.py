@@ -19,7 +19,8 @@ def rows(df):
 def test_chain_keeps_mass_and_normalises(spark, toy, grain):
     model = gibbs.Model(k=2, grain=grain)
     chain = gibbs.Chain(spark, model).start(toy).run(3, keep_from=2)
-    assert topic_counts.mass_by_document(chain.state(), toy, 2).count() == 0
+    mass = topic_counts.mass_by_document(chain.state(), toy, 2)
+    assert mass.count() == 3 and mass.where("not conserved").count() == 0
     assert {r["tokens"] for r in topic_counts.mass_by_table(chain.state(), 2).collect()} == {10}
     for r in chain.gamma().collect():
         assert abs(sum(r["g"]) - 1) < 1e-12
@@ -54,15 +55,73 @@ def test_variational_mass(spark, toy):
     assert abs(state.agg(F.sum(F.col("c")[0] + F.col("c")[1])).first()[0] - 10) < 1e-9
 
 
-def test_matching_is_exact_for_both_forms(spark, monkeypatch):
+def test_matching_is_exact(spark):
     random.seed(3)
     k = 4
     cost = [[random.random() for _ in range(k)] for _ in range(k)]
     best = min(itertools.permutations(range(k)), key=lambda p: sum(cost[i][p[i]] for i in range(k)))
     df = spark.createDataFrame([(i, j, cost[i][j]) for i in range(k) for j in range(k)], "y int, topic int, cost double")
     assert [r["topic"] for r in evaluate.match_topics(df, k).orderBy("y").collect()] == list(best)
-    monkeypatch.setattr(evaluate, "MAX_ENUMERATED", 2)
-    assert [r["topic"] for r in evaluate.match_topics(df, k).orderBy("y").collect()] == list(best)
+
+
+def test_matching_with_an_empty_class_and_greedily(spark):
+    rows = [(0, [0.1, 0.8, 0.1]), (2, [0.2, 0.1, 0.7]), (2, [0.1, 0.1, 0.8])]
+    features = spark.createDataFrame(rows, "y int, g array<double>")
+    for method in ("exact", "greedy"):
+        found = evaluate.match_topics(evaluate.assignment_cost(features, 3), 3, method).orderBy("y").collect()
+        assert [r["topic"] for r in found] == [1, 0, 2]
+    k = 31
+    many = spark.createDataFrame([(i, j, float((i + j) % k)) for i in range(k) for j in range(k)], "y int, topic int, cost double")
+    assert [r["topic"] for r in evaluate.match_topics(many, k, "greedy").orderBy("y").collect()] == [(k - i) % k for i in range(k)]
+
+
+def test_partial_labels_lose_no_token(spark, toy):
+    some = spark.createDataFrame([(0, 0), (1, 1)], "doc_id bigint, y int")
+    seeded = topic_counts.label_seeded_tokens(toy, some, 2, 3)
+    assert seeded.count() == toy.agg(F.sum("n")).first()[0]
+    eta = [[0.5, -0.5], [-0.5, 0.5]]
+    chain = gibbs.Chain(spark, gibbs.Model(k=2), boost=gibbs.label_boost(eta, 2), doc_extra=some).start(toy).run(3)
+    assert topic_counts.mass_by_document(chain.state(), toy, 2).where("not conserved").count() == 0
+
+
+def test_resume_checks_what_it_finds(spark, toy):
+    chain = gibbs.Chain(spark, gibbs.Model(k=2)).start(toy).run(3)
+    again = gibbs.Chain(spark, gibbs.Model(k=2), path=chain.path).resume(3)
+    assert sorted(map(str, again.state().collect())) == sorted(map(str, chain.state().collect()))
+    for model, sweep in ((gibbs.Model(k=2, seed=8), 3), (gibbs.Model(k=2), 1)):
+        with pytest.raises(ValueError):
+            gibbs.Chain(spark, model, path=chain.path).resume(sweep)
+
+
+def test_many_topics(spark, toy):
+    chain = gibbs.Chain(spark, gibbs.Model(k=31)).start(toy).run(1)
+    assert topic_counts.mass_by_document(chain.state(), toy, 31).where("not conserved").count() == 0
+
+
+def test_traces_keep_all_coefficients(spark, tmp_path):
+    from topicweave.sources import samples
+
+    rows = [(r, s, [float(r * 100 + s * 10 + i) for i in range(16)], float(s)) for r in (1, 2) for s in range(3)]
+    trace = spark.createDataFrame(rows, "run int, step int, eta array<double>, loss double")
+    samples.write_trace(trace, f"{tmp_path}/t", 4)
+    got = samples.read_trace(spark, f"{tmp_path}/t")
+    assert sorted(map(tuple, got.select("run", "step", "eta", "loss").collect())) == sorted(rows)
+    (tmp_path / "own").mkdir()
+    text = "eta[0]   eta[1]   l2_loss\n1 2 3\n"
+    (tmp_path / "own" / "seed80init_val0fold1.txt").write_text(text + text + "4 5 6\n")
+    got = samples.read_trace(spark, f"{tmp_path}/own", r"seed(\d+)init_val(\d+)fold(\d+)").orderBy("step", "loss").collect()
+    assert [(r["run"], r["step"], r["eta"], r["loss"]) for r in got] == [
+        ("80-0-1", 0, [1.0, 2.0], 3.0), ("80-0-1", 0, [1.0, 2.0], 3.0), ("80-0-1", 1, [4.0, 5.0], 6.0)]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "run=1.txt").write_text("eta[0] l2_loss\n1 broken\n")
+    with pytest.raises(Exception, match="not a trace line"):
+        samples.read_trace(spark, f"{tmp_path}/bad").collect()
+
+
+def test_digamma_is_the_slope_of_log_gamma(spark):
+    for x in (0.1, 0.5, 1.0, 7.3, 400.0):
+        got = spark.range(1).select(vectors.digamma(F.lit(x))).first()[0]
+        assert abs(got - (math.lgamma(x + 1e-5) - math.lgamma(x - 1e-5)) / 2e-5) < 1e-5
 
 
 def test_quantiles_match_numpy(spark):

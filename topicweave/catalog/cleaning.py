@@ -268,9 +268,9 @@ def _(spark, folder):
 
 # -- counts ------------------------------------------------------------------------------------------------------------
 
-@query("a1_term_counts", f"WITH {TERM_COUNTS} SELECT doc_id, word, n FROM tc ORDER BY n DESC")
+@query("a1_term_counts", f"WITH {TERM_COUNTS} SELECT doc_id, word, n FROM tc ORDER BY n DESC, doc_id, word")
 def _(spark, folder):
-    return counts_of(spark, folder).orderBy(F.desc("n"))
+    return counts_of(spark, folder).orderBy(F.desc("n"), "doc_id", "word")
 
 
 @query("a2_terms_per_document", f"WITH {TERM_COUNTS} SELECT doc_id, count(*)::BIGINT AS terms FROM tc GROUP BY doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicweave.catalog.base import (
-    CORPUS, blocks_sql, hash32, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
+    CORPUS, blocks_sql, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
 )
 from topicweave.catalog.cleaning import corpus_of, documents
 from topicweave.functions import draws, vectors
@@ -13,11 +13,12 @@ from topicweave.operators import corpus, diagnostics, ranking, topic_counts
 from topicweave.plans import gibbs, variational
 from topicweave.session import materialize, scratch_path
 from topicweave.sources import samples as store
+from topicweave.sources.tables import table
 
 K = 4
 MODEL = gibbs.Model(k=K)
 TOKEN_MODEL = gibbs.Model(k=K, grain="token")
-SWEEPS = 6
+SWEEPS = 4
 
 
 def written_corpus(spark, folder):
@@ -105,6 +106,19 @@ def _(spark, folder):
     ).select("doc_id", "word", "rep", "z")
 
 
+@query("m19_partial_labels", f"""WITH {CORPUS}, lab AS (SELECT doc_id, quality AS y FROM labels),
+c AS (SELECT doc_id, word, unnest(range(1, n + 1)) AS rep, y FROM corpus LEFT JOIN lab USING (doc_id)),
+s AS (SELECT *, {uniform('doc_id', 'word', 'rep', quoted('19'))} AS u,
+  {', '.join(f"CASE WHEN y IS NULL THEN 0.25::DOUBLE WHEN y = {i} THEN 0.8::DOUBLE ELSE {(1.0 - 0.8) / 3!r}::DOUBLE END AS p{i}" for i in range(K))} FROM c)
+SELECT doc_id, word, rep::INT AS rep,
+  ((u * (((p0 + p1) + p2) + p3) >= p0)::INT + (u * (((p0 + p1) + p2) + p3) >= (p0 + p1))::INT
+   + (u * (((p0 + p1) + p2) + p3) >= ((p0 + p1) + p2))::INT) AS z FROM s""")
+def _(spark, folder):
+    return topic_counts.label_seeded_tokens(
+        written_corpus(spark, folder), quality_labels(spark, folder), K, 19
+    ).select("doc_id", "word", "rep", "z")
+
+
 @query("a8_document_topics", f"WITH {START}, d AS (SELECT doc_id, {D_SUMS} FROM b0 GROUP BY doc_id) "
        + long_sql(K, "d", "doc_id", lambda i: f"c{i}", "cnt"))
 def _(spark, folder):
@@ -126,11 +140,9 @@ def _(spark, folder):
     return totals.select(F.posexplode_outer("nk").alias("topic", "cnt"))
 
 
-@query("a33_mass_by_document", f"WITH {CORPUS} SELECT doc_id, sum(n)::BIGINT AS counted, sum(n)::BIGINT AS assigned FROM corpus GROUP BY doc_id")
+@query("a33_mass_by_document", f"WITH {ONE}, x AS (SELECT doc_id, sum({LEN})::BIGINT AS assigned FROM b1 GROUP BY doc_id), y AS (SELECT doc_id, sum(n)::BIGINT AS counted FROM corpus GROUP BY doc_id) SELECT doc_id, counted, coalesce(assigned, 0) AS assigned, counted = coalesce(assigned, 0) AS conserved FROM y LEFT JOIN x USING (doc_id)")
 def _(spark, folder):
-    state = swept(spark, folder)
-    cells = vectors.total([F.col("c")[i] for i in range(K)])
-    return state.groupBy("doc_id").agg(F.sum("n").alias("counted"), F.sum(cells).alias("assigned"))
+    return topic_counts.mass_by_document(swept(spark, folder), corpus_of(spark, folder), K)
 
 
 @query("a33_mass_by_table", f"""WITH {CORPUS}, t AS (SELECT sum(n)::BIGINT AS tokens FROM corpus)
@@ -270,6 +282,26 @@ def _(spark, folder):
     return weighted.select("doc_id", "word", *[F.round(F.col("p")[i], 8).alias(f"p{i}") for i in range(K)])
 
 
+PARTIAL = M8_LABEL.replace(LABELS, "lab AS (SELECT doc_id, quality AS y FROM labels)").replace(
+    "JOIN lab USING (doc_id))", "LEFT JOIN lab USING (doc_id))")
+for _i in range(K):
+    _start = PARTIAL.index(f"round(p{_i} * exp(CASE y")
+    _end = PARTIAL.index(f", 8) AS p{_i}", _start)
+    _factor = PARTIAL[_start + len(f"round(p{_i} * "):_end]
+    PARTIAL = PARTIAL[:_start] + f"round(p{_i} * CASE WHEN y IS NULL THEN 1.0::DOUBLE ELSE {_factor} END" + PARTIAL[_end:]
+
+
+def quality_labels(spark, folder):
+    """Labels that only some documents have."""
+    return table(spark, folder, "labels").select("doc_id", F.col("quality").alias("y"))
+
+
+@query("m8_partial_labels", PARTIAL)
+def _(spark, folder):
+    weighted = gibbs.weigh(start_state(spark, folder), MODEL, gibbs.label_boost(ETA, K), quality_labels(spark, folder))
+    return weighted.select("doc_id", "word", *[F.round(F.col("p")[i], 8).alias(f"p{i}") for i in range(K)])
+
+
 def _score(c: int, full: bool) -> str:
     if full:
         return "(" + " + ".join(f"{ETA[c][i]}::DOUBLE * d{i} / doc_n" for i in range(K)) + ")"
@@ -300,26 +332,55 @@ def _(spark, folder):
     return totals.select(F.posexplode_outer("nk").alias("topic", "tokens"))
 
 
-@query("m4_gibbs_chain", f"""WITH {CORPUS}
-SELECT count(DISTINCT doc_id)::BIGINT AS docs, sum(n)::BIGINT AS tokens, count(DISTINCT doc_id)::BIGINT AS gamma_sums_to_one
-FROM corpus""")
-def _(spark, folder):
-    chain = gibbs.Chain(spark, gibbs.Model(k=5, seed=1234)).start(corpus_of(spark, folder)).run(5)
-    by_doc, _ = gibbs.count_tables(chain.state(), 5)
-    ones = F.abs(vectors.total(vectors.items(F.col("g"), 5)) - 1) < 1e-9
-    gammas = topic_counts.gamma(by_doc, 5, 0.1).agg(F.count("*").alias("docs"), F.count_if(ones).alias("gamma_sums_to_one"))
-    tokens = chain.state().agg(F.sum(vectors.total(vectors.items(F.col("c"), 5))).cast("bigint").alias("t")).scalar()
-    return gammas.withColumn("tokens", tokens)
+def chain_sql(k: int, sweeps: int, seed: int = 7) -> str:
+    """CTEs of a chain: blocks ``b0`` to ``b<sweeps>``."""
+    out = f"{CORPUS},\n{tokens_sql(k, str(seed))},\n{blocks_sql(k, 'z0', 'b0')}"
+    for s in range(1, sweeps + 1):
+        out += f",\n{sweep_sql(k, f'b{s - 1}', f's{s}', s, seed)},\n{blocks_sql(k, f'z_s{s}', f'b{s}')}"
+    return out
 
 
-@query("m5_variational_model", f"""WITH {CORPUS}
-SELECT count(DISTINCT doc_id)::BIGINT AS docs, count(*)::BIGINT AS pairs, round(sum(n)::DOUBLE, 3) AS mass FROM corpus""")
+@query("m4_gibbs_chain", f"WITH {chain_sql(5, 5, 1234)} SELECT * FROM b5")
 def _(spark, folder):
-    state = variational.fit(written_corpus(spark, folder), variational.Settings(k=2), passes=3)
-    return state.agg(
-        F.countDistinct("doc_id").alias("docs"), F.count("*").alias("pairs"),
-        F.round(F.sum(vectors.total(vectors.items(F.col("c"), 2))), 3).alias("mass"),
-    )
+    chain = gibbs.Chain(spark, gibbs.Model(k=5, seed=1234)).start(corpus_of(spark, folder)).run(5)
+    return block_columns(chain.state(), 5)
+
+
+def digamma_sql(x: str) -> str:
+    """Recurrence and asymptotic series in plain SQL."""
+    y = f"({x} + 6.0::DOUBLE)"
+    steps = " + ".join(f"1.0::DOUBLE / ({x} + {i}.0::DOUBLE)" for i in range(6))
+    v = f"(1.0::DOUBLE / ({y} * {y}))"
+    series = f"{v} * ({1 / 12!r}::DOUBLE - {v} * ({1 / 120!r}::DOUBLE - {v} * {1 / 252!r}::DOUBLE))"
+    return f"(ln({y}) - 0.5::DOUBLE / {y} - {series} - ({steps}))"
+
+
+def variational_sql(k: int, passes: int, prior: float = 0.5) -> str:
+    raw = ", ".join(f"{uniform('doc_id', 'word', quoted(str(i)), quoted('7'))} AS r{i}" for i in range(k))
+    whole = " + ".join(f"r{i}" for i in range(k))
+    out = f"""{CORPUS},
+vr AS (SELECT doc_id, word, n, {raw} FROM corpus),
+v0 AS (SELECT doc_id, word, n, {', '.join(f"r{i} / ({whole}) * n AS c{i}" for i in range(k))} FROM vr)"""
+    for s in range(1, passes + 1):
+        was = f"v{s - 1}"
+        logs = ", ".join(
+            f"{digamma_sql(f'(d{i} + {prior}::DOUBLE)')} + {digamma_sql(f'(w{i} + {prior}::DOUBLE)')}"
+            f" - {digamma_sql(f'(t{i} + {prior}::DOUBLE * terms)')} AS l{i}" for i in range(k))
+        top, sums = "greatest(" + ", ".join(f"l{i}" for i in range(k)) + ")", " + ".join(f"exp(l{i} - top)" for i in range(k))
+        out += f""",
+vd{s} AS (SELECT doc_id, {', '.join(f"sum(c{i}) AS d{i}" for i in range(k))} FROM {was} GROUP BY doc_id),
+vw{s} AS (SELECT word, {', '.join(f"sum(c{i}) AS w{i}" for i in range(k))} FROM {was} GROUP BY word),
+vt{s} AS (SELECT {', '.join(f"sum(w{i}) AS t{i}" for i in range(k))}, count(*) AS terms FROM vw{s}),
+vl{s} AS (SELECT doc_id, word, n, {logs} FROM {was} JOIN vd{s} USING (doc_id) JOIN vw{s} USING (word), vt{s}),
+vm{s} AS (SELECT *, {top} AS top FROM vl{s}),
+v{s} AS (SELECT doc_id, word, n, {', '.join(f"exp(l{i} - top) / ({sums}) * n AS c{i}" for i in range(k))} FROM vm{s})"""
+    return out
+
+
+@query("m5_variational_model", f"WITH {variational_sql(2, 2)} SELECT doc_id, word, round(c0, 6) AS c0, round(c1, 6) AS c1 FROM v2")
+def _(spark, folder):
+    state = variational.fit(written_corpus(spark, folder), variational.Settings(k=2), passes=2)
+    return state.select("doc_id", "word", *[F.round(F.col("c")[i], 6).alias(f"c{i}") for i in range(2)])
 
 
 @query("w5_categorical_draw", f"""WITH {GAMMA}, l AS ({long_sql(K, 'g', 'doc_id', lambda i: f'g{i}', 'p')}),
@@ -335,23 +396,28 @@ def _(spark, folder):
 
 # -- samples -----------------------------------------------------------------------------------------------------------
 
-SAMPLED = f"""{CORPUS},
-it AS (SELECT doc_id, word, n, unnest(range(1, {SWEEPS + 1})) AS iter FROM corpus),
-ic AS (SELECT doc_id, word, iter, unnest(range(1, n + 1)) AS rep FROM it),
-iz AS (SELECT doc_id, word, iter, ({hash32('doc_id', 'word', 'rep', 'iter')}) % {K} AS z FROM ic)"""
-GAMMA_SAMPLES = SAMPLED + f""",
-gd AS (SELECT iter, doc_id, {', '.join(f'count(*) FILTER (z = {i}) AS c{i}' for i in range(K))} FROM iz GROUP BY iter, doc_id),
-gs AS ({long_sql(K, 'gd', 'iter, doc_id', lambda i: f'(c{i} + 0.1::DOUBLE) / ({LEN} + 0.4::DOUBLE)', 'value')})"""
-BETA_SAMPLES = SAMPLED + f""",
-bw AS (SELECT iter, word, {', '.join(f'count(*) FILTER (z = {i}) AS c{i}' for i in range(K))} FROM iz GROUP BY iter, word),
-bt AS (SELECT iter, count(*) AS terms, {', '.join(f'sum(c{i}) AS t{i}' for i in range(K))} FROM bw GROUP BY iter),
-bj AS (SELECT * FROM bw JOIN bt USING (iter)),
-bs AS ({long_sql(K, 'bj', 'iter, word', lambda i: f'(c{i} + 0.1::DOUBLE) / (t{i}::DOUBLE + 0.1::DOUBLE * terms)', 'value')}),
+def stacked(sql, table: str, name: str, key: str) -> str:
+    """Samples ``gs`` or ``bs``: one union member for each sweep and topic."""
+    out = chain_sql(K, SWEEPS)
+    for i in range(1, SWEEPS + 1):
+        out += f",\n{sql(f'b{i}', f'{table}{i}')}"
+    rows = " UNION ALL ".join(
+        long_sql(K, f"{table}{i}", f"{i} AS iter, {key}", lambda t: f"{'g' if key == 'doc_id' else 'p'}{t}", "value") for i in range(1, SWEEPS + 1))
+    return f"{out},\n{name} AS ({rows})"
+
+
+GAMMA_SAMPLES = stacked(gamma_sql, "ga", "gs", "doc_id")
+BETA_SAMPLES = stacked(beta_sql, "be", "bs", "word") + """,
 top4 AS (SELECT word FROM corpus GROUP BY word ORDER BY sum(n) DESC, word LIMIT 4)"""
 
 
 def sample_tables(spark, folder):
-    return topic_counts.independent_samples(written_corpus(spark, folder), K, SWEEPS, 0.1, 0.1)
+    """``(gamma, beta)`` samples of a chain's sweeps, long rows."""
+    chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(SWEEPS, keep_from=1)
+    return (
+        chain.samples("gamma").select("iter", "doc_id", F.posexplode_outer("g").alias("topic", "value")),
+        chain.samples("beta").select("iter", "word", F.posexplode_outer("b").alias("topic", "value")),
+    )
 
 
 def frequent_words(spark, folder, n=4):
@@ -366,12 +432,12 @@ def frequent_series(spark, folder):
 
 
 @query("s5_samples_saved", f"""WITH {GAMMA_SAMPLES}
-SELECT iter::INT AS iter, doc_id, topic, round(value, 9) AS value FROM gs WHERE iter >= 5""")
+SELECT iter::INT AS iter, doc_id, topic, round(value, 9) AS value FROM gs WHERE iter >= 3""")
 def _(spark, folder):
     path = scratch_path(spark, "samples")
     gamma, _ = sample_tables(spark, folder)
     store.append_window(gamma, path)
-    return store.read_samples(spark, path, first=5).withColumn("value", F.round("value", 9))
+    return store.read_samples(spark, path, first=3).withColumn("value", F.round("value", 9))
 
 
 @query("s6_state_saved", f"WITH {START} SELECT * FROM b0")
@@ -385,17 +451,17 @@ SELECT iter::INT AS iter, count(*)::BIGINT AS rows, round(sum(value), 4) AS tota
 def _(spark, folder):
     path = scratch_path(spark, "samples")
     gamma = materialize(sample_tables(spark, folder)[0], "samples")
-    for first in range(1, SWEEPS + 1, 3):
-        store.append_window(gamma.where(F.col("iter").between(first, first + 2)), path)
+    for first in range(1, SWEEPS + 1, 2):
+        store.append_window(gamma.where(F.col("iter").between(first, first + 1)), path)
     return store.read_samples(spark, path).groupBy("iter").agg(
         F.count("*").alias("rows"), F.round(F.sum("value"), 4).alias("total")
     )
 
 
 @query("p14_burn_in", f"""WITH {BETA_SAMPLES}
-SELECT iter::INT AS iter, topic, count(*)::BIGINT AS terms, round(sum(value), 6) AS total FROM bs WHERE iter BETWEEN 3 AND 5 GROUP BY ALL""")
+SELECT iter::INT AS iter, topic, count(*)::BIGINT AS terms, round(sum(value), 6) AS total FROM bs WHERE iter BETWEEN 2 AND 3 GROUP BY ALL""")
 def _(spark, folder):
-    kept = diagnostics.retained(sample_tables(spark, folder)[1], 3, 5)
+    kept = diagnostics.retained(sample_tables(spark, folder)[1], 2, 3)
     return kept.groupBy("iter", "topic").agg(
         F.count("*").alias("terms"), F.round(F.sum("value"), 6).alias("total")
     )
@@ -422,13 +488,12 @@ def _(spark, folder):
 @query("w4_autocorrelation", f"""WITH {BETA_SAMPLES},
 x AS (SELECT word, topic, iter, value - avg(value) OVER (PARTITION BY word, topic) AS x FROM bs),
 v AS (SELECT word, topic, sum(x * x) AS c0 FROM x GROUP BY word, topic HAVING sum(x * x) > 0),
-l AS (SELECT unnest(range(0, 4)) AS lag),
+l AS (SELECT unnest(range(0, 3)) AS lag),
 q AS (SELECT a.word, a.topic, l.lag, sum(a.x * b.x) AS c FROM x a, l, x b
       WHERE b.word = a.word AND b.topic = a.topic AND b.iter = a.iter - l.lag GROUP BY ALL)
-SELECT word, topic, lag::INT AS lag, round(c / c0, 6) AS acf FROM q JOIN v USING (word, topic)
-WHERE word IN (SELECT word FROM top4)""")
+SELECT word, topic, lag::INT AS lag, round(c / c0, 6) AS acf FROM q JOIN v USING (word, topic)""")
 def _(spark, folder):
-    rows = diagnostics.autocorrelation(frequent_series(spark, folder), 3, "word", "topic")
+    rows = diagnostics.autocorrelation(sample_tables(spark, folder)[1], 2, "word", "topic")
     return rows.withColumn("acf", F.round("acf", 6))
 
 

@@ -15,7 +15,7 @@ from topicweave.sources.tables import table
 K = 2
 MODEL = gibbs.Model(k=K)
 ETA = [[0.7, -0.3], [0.2, 0.5]]
-RESTARTS, FOLDS, STEPS = 3, 5, 5
+RESTARTS, FOLDS, STEPS = 100, 5, 25
 
 
 def blocks(spark, folder):
@@ -171,14 +171,35 @@ def _(spark, folder):
     return rows.withColumn("gradient", F.round("gradient", 5))
 
 
-@query("m10_likelihood_head", f"""WITH {BLOCKS}
-SELECT round(-count(*) * ln(2), 5) AS start_loglik, true AS rose FROM f""")
+def ascent_sql(steps: int) -> str:
+    """CTEs of full gradient steps from zero: coefficients ``a<s>``, likelihood ``r<s>``."""
+    cells = [(i, c) for i in range(K) for c in range(K)]
+    out = BLOCKS + ",\na0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS e{i}{c}" for i, c in cells) + ")"
+    inner = [f"(q0 * exp(e0{c} / doc_n) + q1 * exp(e1{c} / doc_n))" for c in range(K)]
+    own = "CASE y " + " ".join(f"WHEN {c} THEN g0 * e0{c} + g1 * e1{c}" for c in range(K)) + " END"
+    for s in range(steps + 1):
+        out += f""",
+t{s} AS (SELECT doc_id, {', '.join(f'sum(n * ln({inner[c]})) AS l{c}' for c in range(K))},
+  {', '.join(f'sum(n * q{i} * exp(e{i}{c} / doc_n) / doc_n / {inner[c]}) AS d{i}{c}' for i, c in cells)}
+  FROM pk, a{s} WHERE doc_id IN (SELECT doc_id FROM f) GROUP BY doc_id),
+j{s} AS (SELECT t{s}.*, g0, g1, y FROM t{s} JOIN f USING (doc_id)),
+r{s} AS (SELECT sum({own} - ln(exp(l0) + exp(l1))) AS loglik FROM j{s}, a{s}),
+a{s + 1} AS (SELECT {', '.join(
+    f"any_value(e{i}{c}) + sum(CASE WHEN y = {c} THEN g{i} ELSE 0 END - exp(l{c}) / (exp(l0) + exp(l1)) * d{i}{c}) / count(*) AS e{i}{c}"
+    for i, c in cells)} FROM j{s}, a{s})"""
+    return out
+
+
+ASCENT = 4
+
+
+@query("m10_likelihood_head", f"WITH {ascent_sql(ASCENT)} " + " UNION ALL ".join(
+    f"SELECT {s} AS step, round(loglik, 5) AS loglik, "
+    + ", ".join(f"(SELECT round(e{i}{c}, 6) FROM a{ASCENT}) AS e{i}{c}" for i in range(K) for c in range(K)) + f" FROM r{s}" for s in range(ASCENT + 1)))
 def _(spark, folder):
-    _, history = heads.fit_slda(blocks(spark, folder), labels(spark, folder), K, steps=2)
-    shown = features(spark, folder).agg(F.count("*").alias("docs"))
-    return shown.select(
-        F.round(F.lit(history[0]), 5).alias("start_loglik"), F.lit(history[-1] > history[0]).alias("rose")
-    )
+    eta, history = heads.fit_slda(blocks(spark, folder), labels(spark, folder), K, steps=ASCENT)
+    last = [F.round(F.lit(eta[i][c]), 6).alias(f"e{i}{c}") for i in range(K) for c in range(K)]
+    return spark.createDataFrame(list(enumerate(history)), "step int, loglik double").select("step", F.round("loglik", 5).alias("loglik"), *last)
 
 
 @query("m11_l2_solution", f"""WITH {SPLIT}
@@ -280,23 +301,39 @@ def _(spark, folder):
     return heads.best_run(rows).select("run", "cv_score", F.round("test_accuracy", 8).alias("test_accuracy"))
 
 
-@query("m9_softmax_head")
+def softmax_sql(steps: int, rate, batch=None, start: float = 0.0, ridge: float = 0.5) -> str:
+    """CTEs of descent steps of the softmax head: coefficients ``a0`` to ``a<steps>``."""
+    cells = [(i, c) for i in range(K) for c in range(K)]
+    out = BLOCKS + ",\na0 AS (SELECT " + ", ".join(f"{start}::DOUBLE AS e{i}{c}" for i, c in cells) + ")"
+    for s in range(steps):
+        rows = "f" if batch is None else f"(SELECT * FROM f ORDER BY {hash32('doc_id', quoted(f'1111.{s}'))}, doc_id LIMIT {batch})"
+        out += f""",
+x{s} AS (SELECT *, exp(g0 * e00 + g1 * e10) AS x0, exp(g0 * e01 + g1 * e11) AS x1 FROM {rows}, a{s}),
+a{s + 1} AS (SELECT {', '.join(
+    f"any_value(e{i}{c}) - {rate(s)!r}::DOUBLE * (avg(g{i} * (x{c} / (x0 + x1) - (y = {c})::INT)) + {ridge}::DOUBLE * any_value(e{i}{c})) AS e{i}{c}"
+    for i, c in cells)} FROM x{s})"""
+    return out
+
+
+@query("m9_softmax_head", f"""WITH {softmax_sql(45, lambda s: 1.0)},
+x AS (SELECT doc_id, y, exp(g0 * e00 + g1 * e10) AS x0, exp(g0 * e01 + g1 * e11) AS x1 FROM f, a45)
+SELECT doc_id, y, round(x1 / (x0 + x1), 4) AS p1, (x1 > x0)::INT AS pred FROM x""")
 def _(spark, folder):
-    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     rows = features(spark, folder)
-    from pyspark.ml.functions import array_to_vector
-
     model = heads.fit_softmax(rows)
     scored = model.transform(rows.select("doc_id", "y", array_to_vector("g").alias("features")))
     chance = vector_to_array("probability")
     return scored.select(
-        "doc_id", "y", F.round(chance[1], 6).alias("p1"), F.col("prediction").cast("int").alias("pred")
+        "doc_id", "y", F.round(chance[1], 4).alias("p1"), F.col("prediction").cast("int").alias("pred")
     )
 
 
-@query("m9_softmax_sgd")
+@query("m9_softmax_sgd", f"""WITH {softmax_sql(20, lambda s: 1.0 / (1 + s), batch=10, start=0.5)}
+SELECT round(avg(ln(exp(g0 * e00 + g1 * e10) + exp(g0 * e01 + g1 * e11)) - CASE y WHEN 0 THEN g0 * e00 + g1 * e10 ELSE g0 * e01 + g1 * e11 END)
+  + 0.25 * any_value(e00 * e00 + e01 * e01 + e10 * e10 + e11 * e11), 6) AS loss FROM f, a20""")
 def _(spark, folder):
     rows = features(spark, folder)
-    eta = heads.fit_softmax_sgd(rows, K, steps=3)
+    eta = heads.fit_softmax_sgd(rows, K)
     return heads.softmax_loss(rows, eta, K).withColumn("loss", F.round("loss", 6))

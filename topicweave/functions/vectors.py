@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INLINE_LIMIT = 8
-
 
 def items(vector: Column, size: int) -> list[Column]:
     return [vector[i] for i in range(size)]
@@ -23,11 +21,10 @@ def stored(parts: list[Column]) -> Column:
     """The parts as an array that later columns read instead of repeating its expressions.
 
     A plain array would be taken apart by the optimiser and every part pasted into each of its readers, which multiplies
-    the size of long expressions. Short arrays are kept whole by a full-length slice, which stays in generated code. Long
-    ones would make a generated method too large to be compiled at run time, so an element-wise pass takes them out of it.
+    the size of long expressions. An element-wise pass keeps it whole, and keeps long arrays out of generated methods that
+    would be too large to compile.
     """
-    whole = F.array(*parts)
-    return F.slice(whole, 1, len(parts)) if len(parts) <= INLINE_LIMIT else F.transform(whole, lambda x: x)
+    return F.transform(F.array(*parts), lambda x: x)
 
 
 def scaled(vector: Column, size: int) -> Column:

@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 
 from topicweave.functions import lexicon, text
 
-MAX_LITERAL_LIST = 10_000
-
 
 def literal_table(df: DataFrame, values: Iterable, name: str, kind: str) -> DataFrame:
-    """One-column table of driver-side literals; the list is checked before it may be broadcast."""
-    rows = [(v,) for v in values]
-    if len(rows) > MAX_LITERAL_LIST:
-        raise ValueError(f"{len(rows)} literals: keep lists this long in a table and join that")
-    return df.sparkSession.createDataFrame(rows, f"{name} {kind}")
+    """One-column table of driver-side literals."""
+    return df.sparkSession.createDataFrame([(v,) for v in values], f"{name} {kind}")
+
+
+def listed(df: DataFrame, values: Iterable | DataFrame, name: str, kind: str) -> DataFrame:
+    """The values as a table to join with: a table is taken as it is, by its first column; no side is forced to broadcast."""
+    if isinstance(values, DataFrame):
+        return values.select(F.col(values.columns[0]).cast(kind).alias(name))
+    return literal_table(df, values, name, kind)
 
 
-def drop_rows(df: DataFrame, ids: Iterable[int], key: str = "doc_id") -> DataFrame:
-    return df.join(F.broadcast(literal_table(df, ids, key, "bigint")), key, "left_anti")
+def drop_rows(df: DataFrame, ids: Iterable[int] | DataFrame, key: str = "doc_id") -> DataFrame:
+    return df.join(listed(df, ids, key, "bigint"), key, "left_anti")
 
 
 def recode_category(df: DataFrame, mapping: dict[str, str], column: str = "category") -> DataFrame:
@@ -60,13 +62,11 @@ def token_rows(
     return df.select(*keys, F.explode(tokens).alias(name))
 
 
-def without_stop_words(tokens: DataFrame, stop_words: Iterable[str] | None = None) -> DataFrame:
-    listed = lexicon.stop_word_list() if stop_words is None else stop_words
-    return tokens.join(F.broadcast(literal_table(tokens, listed, "word", "string")), "word", "left_anti")
-
-
-def keep_categories(df: DataFrame, categories: Iterable[str], column: str = "category") -> DataFrame:
-    return df.where(F.col(column).isin(list(categories)))
+def without_stop_words(tokens: DataFrame, stop_words: Iterable[str] | DataFrame | None = None) -> DataFrame:
+    """The own list is fixed and short, so it may be broadcast; any other is joined as its size asks."""
+    if stop_words is None:
+        return tokens.join(F.broadcast(literal_table(tokens, lexicon.stop_word_list(), "word", "string")), "word", "left_anti")
+    return tokens.join(listed(tokens, stop_words, "word", "string"), "word", "left_anti")
 
 
 def blank_fields(articles: DataFrame) -> DataFrame:

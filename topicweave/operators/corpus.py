@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from topicweave.functions import text
 from topicweave.operators import skew
 
-MAX_CLASSES = 4096
 BUCKET_DIGITS = 3
 
 
@@ -81,18 +80,9 @@ def normalized_counts(counts: DataFrame, normalize=text.normalize_word) -> DataF
 
 
 def later_duplicates(tokens: DataFrame) -> DataFrame:
-    """Tokens ``(doc_id, pos, word)`` flagged when the word stood earlier in the document."""
-    first = tokens.groupBy("doc_id", "word").agg(F.min("pos").alias("first_pos"))
-    key = F.to_json(F.struct("doc_id", "word"))
-    return (
-        skew.lookup(
-            tokens.withColumn("_key", key),
-            first.select(key.alias("_key"), "first_pos"),
-            "_key",
-            spread="pos",
-        )
-        .select("doc_id", "pos", "word", (F.col("pos") > F.col("first_pos")).alias("is_later"))
-    )
+    """Tokens ``(doc_id, pos, word)`` flagged when the word stood earlier in the document: one shuffle by both."""
+    first = F.min("pos").over(Window.partitionBy("doc_id", "word"))
+    return tokens.select("doc_id", "pos", "word", (F.col("pos") > first).alias("is_later"))
 
 
 def duplicate_keys(counts: DataFrame) -> DataFrame:
@@ -124,45 +114,39 @@ def corpus_size(counts: DataFrame) -> DataFrame:
     )
 
 
-def dense_ids(df: DataFrame, key: str, name: str) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, name: str, digits: int = BUCKET_DIGITS) -> DataFrame:
     """Distinct keys numbered 0, 1, 2, ... in the order of their md5.
 
-    The hash prefix spreads any key set evenly over ``16 ** BUCKET_DIGITS`` buckets; rows are numbered inside their
-    bucket and shifted by the size of the buckets before it. Only the bucket sizes, at most 4096 rows, meet in one
-    task.
+    The hash prefix spreads any key set evenly over ``16 ** digits`` buckets; rows are numbered inside their bucket and
+    shifted by the size of the buckets before it. Only the bucket sizes meet in one task.
     """
-    digest = F.md5(F.col(key).cast("string"))
-    keys = df.select(key).distinct().withColumn("_md5", digest).withColumn(
-        "_bucket", F.substring("_md5", 1, BUCKET_DIGITS)
-    )
+    keys = df.select(key).distinct().withColumn("_md5", F.md5(F.col(key).cast("string")))
+    return _numbered(keys.withColumn("_bucket", F.substring("_md5", 1, digits)), ["_md5", key], name).select(key, name)
+
+
+def _numbered(keys: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Rows numbered by ``_bucket`` and, inside it, by ``order``; one row per bucket meets in one task."""
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         keys.groupBy("_bucket").agg(F.count("*").alias("_size"))
         .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy("_bucket").orderBy("_md5", key)
+    inside = Window.partitionBy("_bucket").orderBy(*order)
     return (
         keys.withColumn("_at", F.row_number().over(inside) - 1)
-        .join(F.broadcast(starts), "_bucket")
-        .select(key, (F.col("_start") + F.col("_at")).cast("bigint").alias(name))
+        .join(starts, "_bucket")
+        .withColumn(name, (F.col("_start") + F.col("_at")).cast("bigint"))
     )
 
 
 def class_ids(labels: DataFrame, column: str = "category", name: str = "y") -> DataFrame:
-    """Label values numbered in sorted order; fails beyond ``MAX_CLASSES`` values."""
-    ranked = labels.select(column).distinct().select(
-        column, (F.row_number().over(Window.orderBy(column)) - 1).cast("int").alias(name)
-    )
-    return ranked.withColumn(
-        name,
-        F.when(F.col(name) < MAX_CLASSES, F.col(name)).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_CLASSES} label values")).cast("int")
-        ),
-    )
+    """Label values numbered in sorted order. The first two characters are the buckets, so any number of values works."""
+    values = labels.select(column).distinct().withColumn("_bucket", F.substring(F.col(column).cast("string"), 1, 2))
+    return _numbered(values, [column], name).select(column, F.col(name).cast("int").alias(name))
 
 
 def with_class_ids(labels: DataFrame, column: str = "category", name: str = "y") -> DataFrame:
-    return labels.join(F.broadcast(class_ids(labels, column, name)), column)
+    return labels.join(class_ids(labels, column, name), column)
 
 
 def document_term_matrix(counts: DataFrame, docs: DataFrame, terms: DataFrame) -> DataFrame:

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from topicweave.functions import vectors
 
-MAX_ENUMERATED = 8
-MAX_ASSIGNED = 20
-
 
 def topic_by_category(best: DataFrame, labels: DataFrame) -> DataFrame:
     return (
@@ -67,36 +64,47 @@ def squared_cost(features: DataFrame, k: int, form: str = "one_hot") -> DataFram
     )
 
 
-def _flat_costs(cost: DataFrame) -> Column:
-    """The K x K costs as one sorted array, read as a scalar."""
-    cells = F.sort_array(F.collect_list(F.struct("y", "topic", "cost")))
-    return cost.agg(F.transform(cells, lambda c: c["cost"]).alias("cells")).scalar()
+def _flat_costs(cost: DataFrame, k: int) -> Column:
+    """The K x K costs as one array by ``y * k + topic``, read as a scalar; cells of a class without documents are 0."""
+    found = cost.agg(F.map_from_entries(F.collect_list(F.struct(
+        (F.col("y") * k + F.col("topic")).cast("int").alias("at"), "cost"))).alias("cells"))
+    at = F.sequence(F.lit(0), F.lit(k * k - 1))
+    return found.select(F.transform(at, lambda i: F.coalesce(F.element_at("cells", i), F.lit(0.0)))).scalar()
 
 
-def match_topics(cost: DataFrame, k: int) -> DataFrame:
-    """One topic per class at the least total cost: ``(y, topic, total_cost)``; the first permutation on ties.
+def match_topics(cost: DataFrame, k: int, method: str = "exact") -> DataFrame:
+    """One topic per class: ``(y, topic, total_cost)``.
 
-    Up to 8 classes every permutation is scored; up to 20 a table of topic subsets is extended class by class, which
-    keeps at most ``2 ** k`` rows. Both are exact.
+    ``exact``: the least total cost, the first permutation on ties; a table of topic subsets is extended class by class, so
+    it holds at most ``2 ** k`` rows. ``greedy``: each class in turn takes the cheapest topic left, for many classes;
+    it is a heuristic. The caller chooses, whatever the number of classes.
     """
-    if k > MAX_ASSIGNED:
-        raise ValueError(f"at most {MAX_ASSIGNED} classes can be matched")
+    if method not in ("exact", "greedy"):
+        raise ValueError(f"no method {method}")
     spark = cost.sparkSession
     topics = F.sequence(F.lit(0), F.lit(k - 1))
     paths = spark.range(1).select(
-        F.array().cast("array<int>").alias("path"), F.lit(0.0).alias("total"), _flat_costs(cost).alias("cells")
+        F.array().cast("array<int>").alias("path"), F.lit(0.0).alias("total"), _flat_costs(cost, k).alias("cells")
     )
     for y in range(k):
+        if method == "greedy":
+            left = F.transform(
+                F.array_except(topics, F.col("path")),
+                lambda t, y=y: F.struct(F.element_at("cells", t + F.lit(1 + y * k)).alias("c"), t.alias("t")),
+            )
+            paths = paths.withColumn("_m", F.array_min(left)).select(
+                F.concat("path", F.array("_m.t")).alias("path"), (F.col("total") + F.col("_m.c")).alias("total"), "cells"
+            )
+            continue
         step = paths.withColumn("_t", F.explode(F.array_except(topics, F.col("path"))))
         cell = F.element_at("cells", F.col("_t") + F.lit(1 + y * k))
         paths = step.select(
             F.concat("path", F.array("_t")).alias("path"), (F.col("total") + cell).alias("total"), "cells"
         )
-        if k > MAX_ENUMERATED:
-            best = F.min(F.struct("total", "path")).alias("best")
-            paths = paths.groupBy(F.sort_array("path").alias("_used")).agg(
-                best, F.first("cells").alias("cells")
-            ).select("best.path", "best.total", "cells")
+        best = F.min(F.struct("total", "path")).alias("best")
+        paths = paths.groupBy(F.sort_array("path").alias("_used")).agg(
+            best, F.first("cells").alias("cells")
+        ).select("best.path", "best.total", "cells")
     best = paths.agg(F.min(F.struct("total", "path")).alias("best"))
     return best.select(
         F.posexplode_outer("best.path").alias("y", "topic"), F.col("best.total").alias("total_cost")

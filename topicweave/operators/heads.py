@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions import draws, vectors
+from topicweave.session import materialize
 
 Matrix = list[list[float]]
 
@@ -161,19 +162,25 @@ def _sum_vectors(name: str) -> Column:
     return F.aggregate(rows, zero, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b)).alias(name)
 
 
-def score_models(features: DataFrame, models: DataFrame, k: int) -> DataFrame:
+def score_models(features: DataFrame, models: DataFrame, k: int, runs: int) -> DataFrame:
     """Accuracy per run on the features' fold: ``(run, fold, hits, docs)``.
 
-    ``models`` holds ``(run, fold, eta)``: restarts x folds rows, set by parameters and not by the data.
+    ``models`` holds ``(run, fold, eta)`` with runs 0, 1, ..., ``runs`` - 1: restarts x folds rows, set by parameters and not by
+    the data. They are read as one scalar; each row is scored by its fold's models and hits are summed run by run.
     """
-    g, eta = F.col("g"), F.col("eta")
-    scores = F.array(*[vectors.total([g[i] * eta[i * k + j] for i in range(k)]) for j in range(k)])
-    return (
-        features.join(F.broadcast(models), "fold")
-        .withColumn("pred", vectors.first_argmax(scores))
-        .groupBy("run", "fold")
-        .agg(F.count_if(F.col("pred") == F.col("y")).alias("hits"), F.count("*").alias("docs"))
-    )
+    by_fold = models.groupBy("fold").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("run", "eta"))), lambda m: m["eta"]).alias("etas"))
+    table = by_fold.agg(F.map_from_entries(F.collect_list(F.struct("fold", "etas")))).scalar()
+    g = F.col("g")
+
+    def hit(eta: Column) -> Column:
+        scores = F.array(*[vectors.total([g[i] * eta[i * k + j] for i in range(k)]) for j in range(k)])
+        return (vectors.first_argmax(scores) == F.col("y")).cast("bigint")
+
+    hits = features.withColumn("_m", table).withColumn("_h", F.transform(F.element_at("_m", F.col("fold")), hit))
+    sums = hits.groupBy("fold").agg(F.count("*").alias("docs"), *[F.sum(F.col("_h")[r]).alias(f"_h{r}") for r in range(runs)])
+    return sums.select("fold", "docs", F.posexplode_outer(F.array(*[f"_h{r}" for r in range(runs)])).alias("run", "hits")).select(
+        "run", "fold", "hits", "docs")
 
 
 def mean_over_folds(models: DataFrame, k: int) -> DataFrame:
@@ -197,11 +204,11 @@ def cross_validate(
     statistics = training_statistics(class_statistics(train, k, "fold", "y"), folds)
     fitted = descend_l2(restart_grid(spark, restarts, folds, k, seed), statistics, k, steps, rate)
     models = fitted.where(F.col("step") == steps).select("run", "fold", "eta")
-    by_fold = score_models(train, models, k)
+    by_fold = score_models(train, models, k, restarts)
     cv = by_fold.groupBy("run").agg(F.avg(F.col("hits") / F.col("docs")).alias("cv_score"))
     averaged = mean_over_folds(models, k)
     test = rows.where("is_test").withColumn("fold", F.lit(-1))
-    on_test = score_models(test, averaged.withColumn("fold", F.lit(-1)), k).select(
+    on_test = score_models(test, averaged.withColumn("fold", F.lit(-1)), k, restarts).select(
         "run", (F.col("hits") / F.col("docs")).alias("test_accuracy")
     )
     return cv.join(on_test, "run").join(averaged, "run")
@@ -232,6 +239,17 @@ def minibatch(features: DataFrame, size: int, seed) -> DataFrame:
     return features.withColumn("_h", draws.hash_uint32(F.col("doc_id"), seed)).orderBy("_h", "doc_id").limit(size).drop("_h")
 
 
+def minibatches(features: DataFrame, size: int, steps: int, seed) -> DataFrame:
+    """``size`` documents for each step, without replacement, in the order of a seeded hash: rows with their ``step``.
+
+    One pass: every partition keeps its first rows of each step, which the window's group limit does before the shuffle.
+    """
+    numbered = features.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
+    hashed = numbered.withColumn("_h", draws.hash_uint32(F.col("doc_id"), F.concat(F.lit(f"{seed}."), F.col("step").cast("string"))))
+    first = Window.partitionBy("step").orderBy("_h", "doc_id")
+    return hashed.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= size).drop("_h", "_at")
+
+
 def softmax_gradient(features: DataFrame, eta: Matrix, k: int, ridge: float = 0.5) -> DataFrame:
     """``(topic, class, gradient)`` of the mean loss with the ridge term."""
     rows = _with_scores(features, eta, k)
@@ -262,10 +280,11 @@ def fit_softmax_sgd(
     features: DataFrame, k: int, steps: int = 20, batch: int = 10, ridge: float = 0.5, rate: float = 1.0,
     seed: str = "1111",
 ) -> Matrix:
-    """Mini-batch descent; ``rate / (1 + step)`` keeps the steps from oscillating."""
+    """Mini-batch descent; ``rate / (1 + step)`` keeps the steps from oscillating. The batches are drawn once and written."""
     eta = [[1.0 / k] * k for _ in range(k)]
+    batches = materialize(minibatches(features, batch, steps, seed), "batches")
     for step in range(steps):
-        grad = as_matrix(softmax_gradient(minibatch(features, batch, f"{seed}.{step}"), eta, k, ridge), k)
+        grad = as_matrix(softmax_gradient(batches.where(F.col("step") == step), eta, k, ridge), k)
         eta = [[e - rate / (1 + step) * g for e, g in zip(er, gr)] for er, gr in zip(eta, grad)]
     return eta
 
@@ -283,6 +302,11 @@ def fit_softmax(features: DataFrame, ridge: float = 0.5, iterations: int = 50):
 
 # -- supervised topic likelihood ---------------------------------------------------------------------------------------
 
+def labelled_blocks(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """The blocks of labelled documents; only these count in the likelihood."""
+    return blocks.join(labels.select("doc_id"), "doc_id", "left_semi")
+
+
 def _document_terms(blocks: DataFrame, eta: Matrix, k: int, slopes: bool) -> DataFrame:
     """Per document: log factors ``L`` by class, mean probabilities ``g`` and, if asked, the slopes by (topic, class)."""
     p, n, doc_n = F.col("p"), F.col("n"), F.col("doc_n")
@@ -302,7 +326,7 @@ def _document_terms(blocks: DataFrame, eta: Matrix, k: int, slopes: bool) -> Dat
 
 def slda_loglik(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> DataFrame:
     """Variational log-likelihood of the labels, by log-sum-exp over the classes."""
-    docs = _document_terms(blocks, eta, k, slopes=False).join(labels.select("doc_id", "y"), "doc_id")
+    docs = _document_terms(labelled_blocks(blocks, labels), eta, k, slopes=False).join(labels.select("doc_id", "y"), "doc_id")
     own = F.element_at(
         F.array(*[vectors.total([F.col(f"_p{i}") * F.lit(float(eta[i][c])) for i in range(k)]) for c in range(k)]),
         F.col("y") + 1,
@@ -313,7 +337,7 @@ def slda_loglik(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> Da
 
 def slda_gradient(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> DataFrame:
     """``(topic, class, gradient)`` of :func:`slda_loglik`."""
-    docs = _document_terms(blocks, eta, k, slopes=True).join(labels.select("doc_id", "y"), "doc_id")
+    docs = _document_terms(labelled_blocks(blocks, labels), eta, k, slopes=True).join(labels.select("doc_id", "y"), "doc_id")
     logs = [F.col(f"_l{c}") for c in range(k)]
     docs = docs.withColumn("_norm", vectors.log_sum_exp(logs))
     chance = [F.exp(log - F.col("_norm")) for log in logs]
@@ -336,6 +360,7 @@ def fit_slda(blocks: DataFrame, labels: DataFrame, k: int, steps: int = 20, rate
     Only K x K numbers and one likelihood reach the driver per step. Returns ``(eta, [loglik, ...])``.
     """
     eta = start or [[0.0] * k for _ in range(k)]
+    blocks = materialize(labelled_blocks(blocks, labels), "labelled-blocks")
     now = slda_loglik(blocks, labels, eta, k).first()
     docs, history = now["docs"], [now["loglik"]]
     for _ in range(steps):

@@ -23,9 +23,9 @@ def random_topic(k: int, seed, doc: Column, word: Column, rep: Column) -> Column
 
 
 def seeded_topic(k: int, seed, doc: Column, word: Column, rep: Column, y: Column, weight: float) -> Column:
-    """Own class with probability ``weight``, every other topic with an equal share of the rest."""
+    """Own class with probability ``weight``, every other topic with an equal share of the rest; no class: all alike."""
     rest = (1.0 - weight) / (k - 1)
-    shares = [F.when(y == i, F.lit(weight)).otherwise(F.lit(rest)) for i in range(k)]
+    shares = [F.when(y.isNull(), F.lit(1.0 / k)).when(y == i, F.lit(weight)).otherwise(F.lit(rest)) for i in range(k)]
     return draws.pick(draws.uniform(doc, word, rep, seed), draws.running_totals(shares))
 
 
@@ -51,7 +51,7 @@ def random_tokens(counts: DataFrame, k: int, seed) -> DataFrame:
 
 def label_seeded_tokens(counts: DataFrame, labels: DataFrame, k: int, seed, weight: float = 0.8) -> DataFrame:
     """Initial topics leaning to the document's class ``y``."""
-    labelled = skew.lookup(counts, labels.select("doc_id", "y"), "doc_id", spread="word")
+    labelled = skew.lookup(counts, labels.select("doc_id", "y"), "doc_id", spread="word", how="left")
     copies = labelled.select(
         "doc_id", "word", "y", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("rep")
     )
@@ -122,14 +122,13 @@ def gather_topics(wide: DataFrame, key: str, value: str, k: int, prefix: str = "
 
 
 def mass_by_document(rows: DataFrame, counts: DataFrame, k: int) -> DataFrame:
-    """Documents whose assigned tokens differ from their counted tokens (empty when mass is conserved)."""
+    """Assigned and counted tokens of each document, and whether they agree."""
     assigned = counts_by(rows, "doc_id", k).select(
         "doc_id", vectors.total(vectors.items(F.col("cnt"), k)).alias("assigned")
     )
     counted = counts.groupBy("doc_id").agg(F.sum("n").alias("counted"))
-    return counted.join(assigned, "doc_id", "left").where(
-        F.coalesce("assigned", F.lit(0)) != F.col("counted")
-    )
+    both = counted.join(assigned, "doc_id", "left").withColumn("assigned", F.coalesce("assigned", F.lit(0)).cast("bigint"))
+    return both.withColumn("conserved", F.col("assigned") == F.col("counted"))
 
 
 def mass_by_table(rows: DataFrame, k: int) -> DataFrame:
@@ -143,32 +142,3 @@ def mass_by_table(rows: DataFrame, k: int) -> DataFrame:
         F.lit("topics").alias("source"), vectors.total(vectors.items(F.col("nk"), k)).alias("tokens")
     )
     return whole(by_doc, "documents").unionByName(whole(by_word, "words")).unionByName(nk)
-
-
-def independent_samples(counts: DataFrame, k: int, sweeps: int, alpha: float, prior: float) -> tuple[DataFrame, DataFrame]:
-    """``(gamma, beta)`` samples of ``sweeps`` random assignments, long rows with ``iter`` counted from 1.
-
-    A stand-in for a stored chain whose draws are all known in advance.
-    """
-    reps = F.sequence(F.lit(1), F.col("n").cast("int"))
-    drawn = counts.withColumn("iter", F.explode(F.sequence(F.lit(1), F.lit(sweeps)))).withColumn(
-        "_z", F.transform(reps, lambda r: random_topic(k, F.col("iter").cast("string"), F.col("doc_id"), F.col("word"), r))
-    ).withColumn("c", split_counts(F.col("_z"), k)).drop("_z")
-
-    def summed(*keys: str) -> DataFrame:
-        sums = [F.sum(F.col("c")[i]).alias(f"_s{i}") for i in range(k)]
-        cells = F.array(*[F.col(f"_s{i}") for i in range(k)])
-        return drawn.groupBy("iter", *keys).agg(*sums).select("iter", *keys, cells.alias("cnt"))
-
-    cnt = F.col("cnt")
-    whole = vectors.total(vectors.items(cnt, k)) + F.lit(k * alpha)
-    by_doc = summed("doc_id").select(
-        "iter", "doc_id", F.posexplode_outer(F.array(*[(cnt[i] + F.lit(alpha)) / whole for i in range(k)])).alias("topic", "value")
-    )
-    by_word = summed("word")
-    totals = by_word.groupBy("iter").agg(
-        F.array(*[F.sum(cnt[i]) for i in range(k)]).alias("nk"), F.count("*").alias("terms")
-    )
-    ratio = F.array(*[(cnt[i] + F.lit(prior)) / (F.col("nk")[i] + F.lit(prior) * F.col("terms")) for i in range(k)])
-    words = by_word.join(F.broadcast(totals), "iter").select("iter", "word", F.posexplode_outer(ratio).alias("topic", "value"))
-    return by_doc, words

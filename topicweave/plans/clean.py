@@ -9,12 +9,6 @@ from topicweave.functions import lexicon, text
 from topicweave.operators import cleaning, corpus
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the files offer fewer splits than there are cores; otherwise no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def document_tokens(docs: DataFrame, min_terms: int | None = None, column: str = "text") -> DataFrame:
     """``(doc_id, word)`` without stop words, for tables with one row per document.
 
@@ -22,7 +16,7 @@ def document_tokens(docs: DataFrame, min_terms: int | None = None, column: str =
     """
     stop = lexicon.stop_word_list()
     tokens = F.col("tokens")
-    rows = spread_small_input(docs).select("doc_id", text.words(F.col(column)).alias("tokens"))
+    rows = docs.select("doc_id", text.words(F.col(column)).alias("tokens"))
     if min_terms is not None:
         listed = F.array(*[F.lit(w) for w in stop])
         tokens = F.when(F.size(F.array_except(tokens, listed)) > min_terms, tokens)

@@ -62,7 +62,7 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
     totals = topic_counts.topic_totals(by_word, k).select(F.struct("nk", "terms")).scalar()
     docs = by_doc.select("doc_id", "ds", F.col("cnt").alias("d"), vectors.total(vectors.items(F.col("cnt"), k)).alias("doc_n"))
     if doc_extra is not None:
-        docs = docs.join(doc_extra, "doc_id")
+        docs = docs.join(doc_extra, "doc_id", "left")  # documents without a row keep their tokens
     docs = skew.repeat_rows(docs, "ds", "_dp")
     terms = skew.repeat_rows(by_word.withColumnRenamed("cnt", "w"), "ws", "_wp")
     rows = (
@@ -150,7 +150,7 @@ def ratio_boost(eta: list[list[float]], k: int):
 def label_boost(eta: list[list[float]], k: int):
     """Factor for topic i: probability of the document's own class ``y`` if the whole block moved to topic i.
 
-    Scores are weighted means of ``eta``, so their exponentials need no rescaling.
+    Documents without a class have factor 1. Scores are weighted means of ``eta``, so their exponentials need no rescaling.
     """
     def boost(rows: DataFrame, own: list[Column]) -> DataFrame:
         d, doc_n, classes = F.col("d"), F.col("doc_n"), range(len(eta))
@@ -162,7 +162,8 @@ def label_boost(eta: list[list[float]], k: int):
         factors = []
         for i in range(k):
             moved = [F.col("_rest")[c] * F.exp(F.lit(float(eta[c][i])) * F.col("_size")) for c in classes]
-            factors.append(F.element_at(F.array(*moved), F.col("y") + 1) / vectors.total(moved))
+            own_class = F.element_at(F.array(*moved), F.col("y") + 1) / vectors.total(moved)
+            factors.append(F.coalesce(own_class, F.lit(1.0)))
         return rows.withColumn("f", vectors.stored(factors))
 
     return boost
@@ -189,6 +190,8 @@ class Chain:
     def _write(self, state: DataFrame, sweep: int) -> None:
         self.schema = state.schema
         state.write.mode("overwrite").parquet(self._slot(sweep))
+        note = self.spark.createDataFrame([(sweep, repr(self.model))], "sweep int, model string")
+        note.coalesce(1).write.mode("overwrite").parquet(f"{self._slot(sweep)}-note")
         self.sweep = sweep
 
     def start(self, counts: DataFrame) -> "Chain":
@@ -200,7 +203,10 @@ class Chain:
         return self.spark.read.parquet(f"{self.path}/counts")
 
     def resume(self, sweep: int) -> "Chain":
-        """Continue after ``sweep``, whose state is still in its folder."""
+        """Continue after ``sweep``, if its folder holds that sweep's state of the same model."""
+        found = self.spark.read.parquet(f"{self._slot(sweep)}-note").collect()[0]
+        if (found["sweep"], found["model"]) != (sweep, repr(self.model)):
+            raise ValueError(f"{self._slot(sweep)} holds sweep {found['sweep']} of {found['model']}")
         self.sweep = sweep
         self.schema = self.spark.read.parquet(self._slot(sweep)).schema
         return self

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,6 +14,7 @@ def build_session(app: str = "topicweave", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -26,18 +26,11 @@ def build_session(app: str = "topicweave", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables, named by ``spark.checkpoint.dir``.
-
-    A temporary folder stands in only for a local master, where driver and tasks share one disk.
-    """
+    """Folder for checkpoints and intermediate tables: ``spark.checkpoint.dir``, for every master alike."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    fresh = tempfile.mkdtemp(prefix="topicweave-")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
