@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicweave.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules
+from topicweave.llm.common import temporary_names
 from topicweave.session import materialize
 from topicweave.sources.tables import table
 
@@ -17,8 +18,9 @@ from topicweave.sources.tables import table
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned rules reject; rows with one id share a verdict: all must pass."""
     verdicts = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_id"))
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    [id_] = temporary_names(docs.columns, "id_")
+    rejected = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(id_))
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col(id_)), "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id."""
     found = ngram_join.joined(docs)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+    [id_] = temporary_names(docs.columns, "id_")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,9 +73,9 @@ def new_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
 
 def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key, place = temporary_names(docs.columns, "digest", "place")
-    kept = index.add(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    named = docs.withColumn(key, digest())
-    stay = named.join(kept, named["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (named[key] == kept["_digest"]), "left_semi")
+    key, place, id_, key_ = temporary_names(docs.columns, "digest", "place", "id_", "digest_")
+    kept = index.add(docs).where("kept").select(F.col("doc_id").alias(id_), F.col("digest").alias(key_))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))
+    stay = docs.withColumn(key, digest()).join(kept, same, "left_semi")
     first = Window.partitionBy("doc_id", key).orderBy(F.xxhash64(*docs.columns))
     return stay.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by fitting exact word budgets.
 
 Documents are counted by source and exact length. A source's target is split into full copies of the source and a remaining
-budget below one copy. The budget takes the same share of the documents of every length, rounded down, and what is then
-missing is fitted exactly: large steps first, then a bounded knapsack over the numbers of documents left per length. That
+budget below one copy. All but the last 65,536 words of the budget take the same share of the documents of every length, and
+the rest is fitted by a bounded knapsack over the numbers of documents left per length, to the nearest sum. That
 yields how many more documents of each length to take; which ones is settled by a hash of seed and id, so reruns agree.
 
 Only counts by (source, length) meet in one task: at most as many rows as there are text lengths. Selection ranks documents
@@ -26,7 +26,7 @@ from topicweave.session import materialize
 
 #: Rows that a slice of one length holds on average at most.
 SLICE_ROWS = 20_000
-#: What the knapsack fits at the end; larger remainders are brought down by whole documents first.
+#: What the knapsack fits at the end.
 KNAPSACK_WORDS = 1 << 16
 
 
@@ -56,22 +56,24 @@ def targets(totals: DataFrame, weights: Sequence[int], share: float, most: float
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take, at most ``counts``, so that the words come as near to ``budget`` as the
-    steps allow; never above it. All three are whole numbers, lengths positive and distinct."""
-    lengths, counts, taken = [int(x) for x in lengths], [int(x) for x in counts], [0] * len(lengths)
+    """How many documents of each length to take, at most ``counts``, so that the words come nearest to ``budget``.
+
+    What lies beyond the knapsack's reach is taken in proportion first. All three are whole numbers, lengths positive and
+    distinct.
+    """
+    lengths, counts = [int(x) for x in lengths], [int(x) for x in counts]
     total = sum(a * b for a, b in zip(lengths, counts))
     if budget >= total:
         return np.array(counts, np.int64)
-    for k, (n, c) in enumerate(zip(lengths, counts)):
-        taken[k] = c * budget // total
+    taken = [c * max(0, budget - KNAPSACK_WORDS) // total for c in counts]
     left = budget - sum(a * b for a, b in zip(lengths, taken))
     for k in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        if left <= KNAPSACK_WORDS:
-            break
-        step = min(counts[k] - taken[k], (left - KNAPSACK_WORDS) // lengths[k] + 1, left // lengths[k])
+        step = max(0, min(counts[k] - taken[k], (left - KNAPSACK_WORDS) // lengths[k]))
         taken[k], left = taken[k] + step, left - step * lengths[k]
-    items = [(lengths[k] * m, k, m) for k in range(len(lengths)) for m in _powers(min(counts[k] - taken[k], left // lengths[k]))]
-    for k, m in _knapsack(sorted(items), left):
+    room = left + min(max(lengths), KNAPSACK_WORDS)
+    items = [(lengths[k] * m, k, m) for k in range(len(lengths)) for m in _powers(min(counts[k] - taken[k], room // lengths[k]))]
+    items.sort(key=lambda x: (x[0] * 2654435761 % (1 << 32), x))  # lengths in a mixed order, the same every time
+    for k, m in _knapsack(items, left, room):
         taken[k] += m
     return np.array(taken, np.int64)
 
@@ -85,20 +87,23 @@ def _powers(count: int) -> list[int]:
     return out
 
 
-def _knapsack(items: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
-    """Items whose sizes add up to the largest sum within ``budget``. Sums are bits of an integer; the table remembers
-    which item reached a sum first."""
-    room, reached = (1 << (budget + 1)) - 1, 1
-    first = np.full(budget + 1, -1, np.int64)
+def _knapsack(items: list[tuple[int, int, int]], budget: int, room: int) -> list[tuple[int, int]]:
+    """Items whose sizes add up nearest to ``budget``, within ``room``; the lower of two equally near sums. Sums are bits of
+    an integer; the table remembers which item reached a sum first."""
+    mask, reached = (1 << (room + 1)) - 1, 1
+    first = np.full(room + 1, -1, np.int64)
     for i, (size, _, _) in enumerate(items):
-        fresh = (reached << size) & room & ~reached
+        if reached >> budget & 1:
+            break
+        fresh = (reached << size) & mask & ~reached
         if fresh:
-            bits = np.unpackbits(np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), np.uint8), bitorder="little")
-            first[np.flatnonzero(bits[: budget + 1])] = i
+            bits = np.unpackbits(np.frombuffer(fresh.to_bytes(room // 8 + 1, "little"), np.uint8), bitorder="little")
+            first[np.flatnonzero(bits[: room + 1])] = i
             reached |= fresh
-        if reached >> budget:
-            break
-    at, out = reached.bit_length() - 1, []
+    below = (reached & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reached >> (budget + 1)
+    step = (above & -above).bit_length()
+    at, out = budget + step if above and step < budget - below else below, []
     while at:
         size, k, m = items[first[at]]
         out.append((k, m))
@@ -158,11 +163,10 @@ def row_key(docs: DataFrame):
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix: each row as often as it is taken, with the columns of ``docs``."""
-    key, times, place = temporary_names(docs.columns, "key", "times", "place")
-    times_of = plan(docs, **how).where("times > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("times").alias("_times"))
-    times_of = times_of.groupBy("_id", "_key").agg(F.sort_array(F.collect_list("_times"), asc=False).alias("_times"))
+    key, place, id_, key_, times_, times = temporary_names(docs.columns, "key", "place", "id_", "key_", "times_", "times")
+    times_of = plan(docs, **how).where("times > 0").groupBy(F.col("doc_id").alias(id_), F.col("row_key").alias(key_)).agg(
+        F.sort_array(F.collect_list("times"), asc=False).alias(times_))
     named = docs.withColumn(key, row_key(docs))
     named = named.withColumn(place, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(key)))
-    found = named.join(times_of, named["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (named[key] == F.col("_key")))
-    return found.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.get("_times", F.col(place) - 1)))).select(*docs.columns)
+    found = named.join(times_of, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_)))
+    return found.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.get(times_, F.col(place) - 1)))).select(*docs.columns)

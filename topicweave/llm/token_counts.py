@@ -54,7 +54,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def attribute(ends: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each token's section by the rule above, and whether it crosses a border. All offsets are bytes."""
-    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    begins = np.concatenate([[0], ends])[:-1].astype(np.int64)
     first = np.searchsorted(starts, begins, "right") - 1
     last = np.searchsorted(starts, ends - 1, "right") - 1
     owner, crossing = first.copy(), first != last
