@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicweave.catalog.base import ARTICLES, long_sql, query
-from topicweave.catalog.modelling import ETA, GAMMA, K, LABELS, class_labels, gamma_after_sweep
+from topicweave.catalog.base import ARTICLES, CORPUS, in_list, long_sql, query
+from topicweave.catalog.modelling import ETA, GAMMA, K, LABELS, chain_sql, class_labels, gamma_after_sweep, gamma_sql
 from topicweave.functions import vectors
 from topicweave.operators import diagnostics, evaluate, ranking
 from topicweave.plans import study
@@ -225,6 +225,33 @@ def _(spark, folder):
     return evaluate.confusion(evaluate.predicted(features(spark, folder), ETA))
 
 
-@query("m20_study")
+STUDY_SWEEPS, STUDY_FROM = 3, 2
+SETS = {"lang": [["en", "fr"], ["en", "fr", "de"], ["en", "fr", "de", "es"]], "source": [[f"src{i}" for i in range(5)]]}
+
+
+def study_sql(column: str, categories: list[str]) -> str:
+    """One category set: chain, mean of the retained samples, cheapest mapping, hits by class."""
+    k, kept = len(categories), f"{column} IN {in_list(categories)}"
+    base = f"{CORPUS},\nsub AS (SELECT corpus.* FROM corpus JOIN documents USING (doc_id) WHERE {kept})"
+    samples = range(STUDY_FROM, STUDY_SWEEPS + 1)
+    gammas = ",\n".join(gamma_sql(f"b{i}", f"ga{i}", k) for i in samples)
+    means = ", ".join(f"avg(g{i}) AS g{i}" for i in range(k))
+    top = "greatest(" + ", ".join(f"g{i}" for i in range(k)) + ")"
+    best = "CASE " + " ".join(f"WHEN g{i} = {top} THEN {i}" for i in range(k)) + " END"
+    return f"""SELECT * FROM (WITH {chain_sql(k, STUDY_SWEEPS, 7, base, 'sub')},
+{gammas},
+g AS (SELECT doc_id, {means} FROM ({' UNION ALL '.join(f'SELECT * FROM ga{i}' for i in samples)}) GROUP BY doc_id),
+lab AS (SELECT doc_id, {column} AS category, (dense_rank() OVER (ORDER BY {column}) - 1)::INT AS y FROM documents WHERE {kept}),
+f AS (SELECT g.*, category, y FROM g JOIN lab USING (doc_id)),
+lg AS ({long_sql(k, 'f', 'doc_id', lambda i: f'g{i}', 'value', ', category, y')}),
+cost AS (SELECT y, topic, count(*) - sum(value) AS cost FROM lg GROUP BY y, topic),
+{permutations_sql(k)},
+p AS (SELECT b.y, b.category, m.y AS pred FROM (SELECT y, category, {best} AS topic FROM f) b JOIN m USING (topic))
+SELECT {k} AS topics, y, category, count(*)::BIGINT AS docs, count(*) FILTER (y = pred)::BIGINT AS hits,
+  round(count(*) FILTER (y = pred)::DOUBLE / count(*), 9) AS accuracy FROM p GROUP BY y, category)"""
+
+
+@query("m20_study", " UNION ALL ".join(study_sql(column, one) for column, sets in SETS.items() for one in sets))
 def _(spark, folder):
-    return study.run_study(spark, folder, [["en", "fr"], ["en", "fr", "de"], ["en", "fr", "de", "es"]], sweeps=3)
+    by_column = [study.run_study(spark, folder, sets, STUDY_SWEEPS, STUDY_FROM, column=column) for column, sets in SETS.items()]
+    return by_column[0].unionByName(by_column[1])

@@ -332,9 +332,9 @@ def _(spark, folder):
     return totals.select(F.posexplode_outer("nk").alias("topic", "tokens"))
 
 
-def chain_sql(k: int, sweeps: int, seed: int = 7) -> str:
-    """CTEs of a chain: blocks ``b0`` to ``b<sweeps>``."""
-    out = f"{CORPUS},\n{tokens_sql(k, str(seed))},\n{blocks_sql(k, 'z0', 'b0')}"
+def chain_sql(k: int, sweeps: int, seed: int = 7, base: str = CORPUS, counts: str = "corpus") -> str:
+    """CTEs of a chain over the table ``counts`` of ``base``: blocks ``b0`` to ``b<sweeps>``."""
+    out = f"{base},\n{tokens_sql(k, str(seed), counts)},\n{blocks_sql(k, 'z0', 'b0')}"
     for s in range(1, sweeps + 1):
         out += f",\n{sweep_sql(k, f'b{s - 1}', f's{s}', s, seed)},\n{blocks_sql(k, f'z_s{s}', f'b{s}')}"
     return out

@@ -25,12 +25,9 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def keep_long_documents(counts: DataFrame, more_than: int = 10) -> DataFrame:
-    """Documents with more than ``more_than`` distinct terms."""
-    sizes = terms_per_document(counts)
-    kept = sizes.where(F.col("terms") > more_than).select("doc_id")
-    return skew.lookup(
-        counts, kept, "doc_id", spread="word", how="left_semi", sizes=sizes.withColumnRenamed("terms", "rows")
-    )
+    """Documents with more than ``more_than`` distinct terms, counted in a window: one scan, one shuffle by document."""
+    terms = F.count_if(F.col("n") > 0).over(Window.partitionBy("doc_id"))
+    return counts.withColumn("_terms", terms).where(F.col("_terms") > more_than).drop("_terms")
 
 
 def drop_rare_terms(counts: DataFrame, at_most: int = 1) -> DataFrame:
