@@ -27,7 +27,7 @@ def ids(data):
 @given(TEXT)
 def test_same_ids_as_the_library(text):
     assert ids(VOCABULARY.encode(text)) == TIKTOKEN.encode_ordinary(text)
-    assert VOCABULARY.decode(VOCABULARY.encode(text)) == text.encode() and "".join(parts(text)) == text
+    assert VOCABULARY.decode(VOCABULARY.encode(text)) == text.encode() and " ".join([parts(text)[0], *parts(text)[1]]) == text
 
 
 @settings(max_examples=800, deadline=None)

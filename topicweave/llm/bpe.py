@@ -30,13 +30,13 @@ from topicweave.llm.pieces import Remembered, parts
 
 
 #: Bytes at the beginning of a piece whose tables are remembered.
-START = 6
+START = 8
 
 
 class PrefixEncoder:
     """Encodes single byte strings with the ranks of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: int = 150_000, starts: int = 50_000):
+    def __init__(self, ranks: dict[bytes, int], pairs: int = 150_000, starts: int = 100_000):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
@@ -55,13 +55,14 @@ class PrefixEncoder:
         self.ends = self._lengths()
         self.known_start = Remembered(lambda start: self.extend(start, []), starts).__getitem__
 
-    def _lengths(self) -> dict[bytes, tuple[int, ...]]:
+    def _lengths(self) -> Remembered:
         """Lengths of the tokens that end in three given bytes, longest first."""
         lengths: dict[bytes, set[int]] = {}
         for token in self.usable:
             if len(token) > 2:
                 lengths.setdefault(token[-3:], set()).add(len(token))
-        return {tail: (*sorted(x, reverse=True), *self._short(tail)) for tail, x in lengths.items()}
+        return Remembered(
+            lambda tail: (*sorted(lengths.get(tail, ()), reverse=True), *self._short(tail)), 100_000)
 
     def _short(self, tail: bytes) -> tuple[int, ...]:
         return tuple(n for n in (2, 1) if n <= len(tail) and tail[-n:] in self.usable)
@@ -110,7 +111,7 @@ class PrefixEncoder:
         find, ends, apart = self.usable.get, self.ends, self.known_pair
         for end in range(len(last) + 1, len(data) + 1):
             tail = data[max(0, end - 3):end]
-            for n in ends.get(tail) or self._short(tail):
+            for n in ends[tail]:
                 token = find(data[end - n:end]) if n <= end else None
                 if token is not None and (n == end or apart((last[end - n - 1], token))):
                     last.append(token)
@@ -160,21 +161,19 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = 300_000):
         self.pieces, self.encoder = regex.compile(pattern), PrefixEncoder(ranks)
-        self.known_piece = Remembered(self._piece, cached // 2).__getitem__
-        self.known_part = Remembered(self._part, cached).__getitem__
+        self.known_piece = Remembered(self._piece, cached).__getitem__
+        self.known_part = Remembered(lambda part: self._ids(" " + part), cached).__getitem__
 
     def _piece(self, piece: str) -> bytes:
         return array("I", self.encoder.encode(piece.encode())).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        found = self.pieces.findall(part)
-        if len(found) == 1:  # remembered as the part it is
-            return self._piece(part)
-        return b"".join(map(self.known_piece, found))
+    def _ids(self, text: str) -> bytes:
+        return b"".join(map(self.known_piece, self.pieces.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers of this machine (little-endian on all that Spark runs on)."""
-        return b"".join(map(self.known_part, parts(text)))
+        first, rest = parts(text)
+        return self._ids(first) + b"".join(map(self.known_part, rest))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.encoder.bytes_of.__getitem__, memoryview(ids).cast("I")))
@@ -195,8 +194,7 @@ class Vocabulary:
             if size == len(kept):
                 break
             size, keep = size + len(self.encoder.bytes_of[i]), keep + 1
-        tail = b"".join(map(self.known_piece, self.pieces.findall(text[start:] + more)))
-        return ids[: 4 * keep] + tail
+        return ids[: 4 * keep] + self._ids(text[start:] + more)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

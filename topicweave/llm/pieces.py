@@ -14,15 +14,14 @@ _AMID_SPACES = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
-def parts(text: str) -> list[str]:
-    """Substrings that join to ``text`` and can be encoded apart from each other."""
+def parts(text: str) -> tuple[str, list[str]]:
+    """``first, rest``: ``text`` is ``first`` and then, for each of ``rest``, a space and that part. ``first`` and every part with
+    its space can be encoded apart from each other."""
     if _AMID_SPACES.search(text):
-        return _CUT.split(text)
+        first, *rest = _CUT.split(text)
+        return first, [x[1:] for x in rest]
     first, *rest = text.split(" ")
-    out = [" " + x for x in rest]
-    if first:
-        out.insert(0, first)
-    return out
+    return first, rest
 
 
 class Remembered(dict):
@@ -39,8 +38,11 @@ class Remembered(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
