@@ -86,16 +86,16 @@ def match_topics(cost: DataFrame, k: int, method: str = "exact") -> DataFrame:
     paths = spark.range(1).select(
         F.array().cast("array<int>").alias("path"), F.lit(0.0).alias("total"), _flat_costs(cost, k).alias("cells")
     )
-    for y in range(k):
-        if method == "greedy":
-            left = F.transform(
-                F.array_except(topics, F.col("path")),
-                lambda t, y=y: F.struct(F.element_at("cells", t + F.lit(1 + y * k)).alias("c"), t.alias("t")),
-            )
-            paths = paths.withColumn("_m", F.array_min(left)).select(
-                F.concat("path", F.array("_m.t")).alias("path"), (F.col("total") + F.col("_m.c")).alias("total"), "cells"
-            )
-            continue
+    if method == "greedy":
+        # one pass over the classes inside the row
+        def cheapest(acc: Column, y: Column) -> Column:
+            left = F.array_except(topics, acc["path"])
+            best = F.array_min(F.transform(left, lambda t: F.struct(F.get(F.col("cells"), y * k + t).alias("c"), t.alias("t"))))
+            return F.struct(F.concat(acc["path"], F.array(best["t"])).alias("path"), (acc["total"] + best["c"]).alias("total"))
+
+        start = F.struct(F.array().cast("array<int>").alias("path"), F.lit(0.0).alias("total"))
+        paths = paths.select(F.aggregate(topics, start, cheapest).alias("r")).select("r.path", "r.total")
+    for y in range(k) if method == "exact" else ():
         step = paths.withColumn("_t", F.explode(F.array_except(topics, F.col("path"))))
         cell = F.element_at("cells", F.col("_t") + F.lit(1 + y * k))
         paths = step.select(

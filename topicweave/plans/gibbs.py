@@ -12,8 +12,11 @@ Hot documents and hot words are cut into pieces when the state is built, and the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,18 +63,7 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
     k = model.k
     by_doc, by_word = count_tables(state, k)
     totals = topic_counts.topic_totals(by_word, k).select(F.struct("nk", "terms")).scalar()
-    docs = by_doc.select("doc_id", "ds", F.col("cnt").alias("d"), vectors.total(vectors.items(F.col("cnt"), k)).alias("doc_n"))
-    if doc_extra is not None:
-        docs = docs.join(doc_extra, "doc_id", "left")  # documents without a row keep their tokens
-    docs = skew.repeat_rows(docs, "ds", "_dp")
-    terms = skew.repeat_rows(by_word.withColumnRenamed("cnt", "w"), "ws", "_wp")
-    rows = (
-        state.withColumn("_dp", skew.piece_of(F.col("ds"), F.col("word")))
-        .withColumn("_wp", skew.piece_of(F.col("ws"), F.col("doc_id")))
-        .join(docs, ["doc_id", "_dp"])
-        .join(terms, ["word", "_wp"])
-        .withColumn("_t", totals)
-    )
+    rows = with_counts(state, by_doc, by_word, k, doc_extra).withColumn("_t", totals)
     own = topic_counts.own_counts(state, k)
     d, w, t = F.col("d"), F.col("w"), F.col("_t")
     weights = [
@@ -85,6 +77,21 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
     return rows.select(*state.columns, "doc_n", vectors.stored(weights).alias("p"))
 
 
+def with_counts(state: DataFrame, by_doc: DataFrame, by_word: DataFrame, k: int, doc_extra: DataFrame | None = None) -> DataFrame:
+    """State rows with their document's counts ``d``, its length ``doc_n`` and their word's counts ``w``."""
+    docs = by_doc.select("doc_id", "ds", F.col("cnt").alias("d"), vectors.total(vectors.items(F.col("cnt"), k)).alias("doc_n"))
+    if doc_extra is not None:
+        docs = docs.join(doc_extra, "doc_id", "left")  # documents without a row keep their tokens
+    docs = skew.repeat_rows(docs, "ds", "_dp")
+    terms = skew.repeat_rows(by_word.withColumnRenamed("cnt", "w"), "ws", "_wp")
+    return (
+        state.withColumn("_dp", skew.piece_of(F.col("ds"), F.col("word")))
+        .withColumn("_wp", skew.piece_of(F.col("ws"), F.col("doc_id")))
+        .join(docs, ["doc_id", "_dp"])
+        .join(terms, ["word", "_wp"])
+    )
+
+
 def draw(weighted: DataFrame, model: Model, sweep: int) -> DataFrame:
     """New topics for every row, by inverse CDF of the weights.
 
@@ -111,7 +118,36 @@ def draw(weighted: DataFrame, model: Model, sweep: int) -> DataFrame:
     return rows.withColumn("c", drawn).drop("_b", "_below", "_at", "_z", "p", "doc_n")
 
 
+def draw_blocks(state: DataFrame, model: Model, sweep: int) -> DataFrame:
+    """The state after :func:`weigh` and :func:`draw`, for blocks without a boost: weights, running totals and counts of a
+    batch of rows are a few array operations. Only the K topic totals and the number of terms go through the driver."""
+    k, columns, alpha, beta = model.k, state.columns, model.alpha, model.beta
+    by_doc, by_word = count_tables(state, k)
+    totals = topic_counts.topic_totals(by_word, k).first()
+    t = np.array(totals["nk"], np.float64), float(totals["terms"])
+    reps = F.sequence(F.lit(1), F.col("n").cast("int"))
+    u = F.transform(reps, lambda rep: draws.uniform(F.col("doc_id"), F.col("word"), rep, f"{model.seed}.{sweep}"))
+    rows = with_counts(state, by_doc, by_word, k).select(*columns, "d", "w", u.alias("u"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c, d, w = (batch.column(x).flatten().to_numpy().reshape(-1, k).astype(np.float64) for x in "cdw")
+            p = (d - c + alpha) * (w - c + beta) / (t[0] - c + beta * t[1])
+            bounds = np.cumsum(p, axis=1)
+            row = np.repeat(np.arange(len(c)), batch.column("n").to_numpy())
+            at = batch.column("u").flatten().to_numpy() * bounds[row, -1]
+            z = (at[:, None] >= bounds[row, :-1]).sum(axis=1)
+            drawn = np.bincount(row * k + z, minlength=len(c) * k).astype(np.int32)
+            arrays = [batch.column(x) for x in columns]
+            arrays[columns.index("c")] = pa.ListArray.from_arrays(np.arange(0, len(drawn) + 1, k, dtype=np.int32), drawn)
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    return rows.mapInArrow(run, state.schema)
+
+
 def sweep_once(state: DataFrame, model: Model, sweep: int, boost=None, doc_extra=None) -> DataFrame:
+    if model.grain == "block" and boost is None:
+        return draw_blocks(state, model, sweep)
     return draw(weigh(state, model, boost, doc_extra), model, sweep).select(*state.columns)
 
 

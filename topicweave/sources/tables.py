@@ -9,7 +9,11 @@ from topicweave.functions import text
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A supplied table. ``spark.topicweave.inputPartitions``, if set, deals its rows out to so many partitions, for files
+    of one row group that a single task would read."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    dealt = spark.conf.get("spark.topicweave.inputPartitions", None)
+    return rows.repartition(int(dealt)) if dealt else rows
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
