@@ -67,8 +67,8 @@ def test_components_on_real_documents(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("neighbours", [(1, 2, 3), (1,)])
-def test_families_of_near_copies(spark, neighbours):
+@pytest.mark.parametrize("how", [{}, {"neighbours": (1,), "hot": 1, "block": 7}, {"neighbours": (1,), "hot": 10**6}, {"frequent": 0, "hot": 3, "block": 4}])
+def test_families_of_near_copies(spark, how):
     """Chains of edits: many links hold between neighbours only, and frequent passages link nothing by themselves."""
     import random
 
@@ -82,7 +82,7 @@ def test_families_of_near_copies(spark, neighbours):
                 words[draw.randrange(len(words))] = f"e{draw.random()}"
             docs.append((len(docs), " ".join(words + passage)))
     draw.shuffle(docs)
-    got = ngram_join.joined(spark.createDataFrame(docs, "doc_id bigint, text string"), ngram_join.Similarity(neighbours=neighbours))
+    got = ngram_join.joined(spark.createDataFrame(docs, "doc_id bigint, text string"), ngram_join.Similarity(**how))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs)
 
 
