@@ -30,7 +30,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id."""
-    found = ngram_join.joined(docs)
+    found = ngram_join.joined(docs, counted=False)
     [id_] = temporary_names(docs.columns, "id_")
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_)).distinct()
     return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")

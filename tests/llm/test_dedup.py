@@ -101,3 +101,49 @@ def test_prefix_lengths():
         # the fewest shared shingles a similar set needs, and one more than can be missed
         least = min(m for m in range(1, n + 1) if 100 * m >= 80 * n)
         assert how.prefix(n) == n - least + 1
+
+
+def brute_links(docs):
+    """For each row the number of other rows with a similar set, and the pairs of different sets."""
+    sets = []
+    for _, text in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append(frozenset({tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}))
+    alike = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    counts = sorted((d, sum(alike(a, b) for j, b in enumerate(sets) if i != j)) for i, ((d, _), a) in enumerate(zip(docs, sets)))
+    rep = {s: min(d for (d, _), x in zip(docs, sets) if x == s) for s in sets}
+    size = {s: sets.count(s) for s in rep}
+    found = sorted((rep[a], rep[b], size[a], size[b]) for a in rep for b in rep if rep[a] < rep[b] and alike(a, b))
+    return counts, found
+
+
+@pytest.mark.parametrize("how", [{}, {"neighbours": (1,), "hot": 1, "block": 7, "tile": 5}, {"hot": 3, "tile": 8, "tile_shingles": 900}])
+def test_every_link_is_counted(spark, how):
+    """Two families in which many different sets are similar, some of them in several copies, and texts that are alone."""
+    import random
+
+    draw, docs = random.Random(9), []
+    for family in range(2):
+        words = [f"f{family}x{i}" for i in range(200)]
+        for _ in range(30):
+            edited = list(words)
+            for _ in range(draw.randint(1, 4)):
+                edited[draw.randrange(len(edited))] = f"e{draw.random()}"
+            docs += [" ".join(edited)] * draw.choice((1, 1, 1, 3))
+    docs += ["", "too short", "too short", "alone " * 3 + "with these seven words of text"]
+    draw.shuffle(docs)
+    docs = list(enumerate(docs))
+    counts, found = brute_links(docs)
+    assert len(found) > 300
+    table, how = spark.createDataFrame(docs, "doc_id bigint, text string"), ngram_join.Similarity(**how)
+    assert sorted((r["doc_id"], r["n_links"]) for r in ngram_join.joined(table, how).collect()) == counts
+    assert sorted(map(tuple, ngram_join.pairs(table, how).collect())) == found
+
+
+def test_links_of_rows_that_share_an_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(base), " ".join(base[:-1] + ["x"]), " ".join(f"v{i}" for i in range(60))
+    docs = [(3, a), (5, a), (5, c), (6, b), (7, c), (7, c)]
+    got = ngram_join.joined(spark.createDataFrame(docs + [(None, c)], "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in got if r["doc_id"] is not None) == brute_links(docs)[0]
+    assert [r["n_links"] for r in got if r["doc_id"] is None] == [None]
