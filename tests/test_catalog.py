@@ -25,3 +25,22 @@ def test_query_matches_sql(spark, name):
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
     assert sorted(map(tuple, got[columns].astype(str).values)) == sorted(map(tuple, want[columns].astype(str).values))
+
+
+def test_chains_run_as_long_as_the_defaults_of_their_operators():
+    import inspect
+
+    from topicweave.catalog import evaluation, modelling
+    from topicweave.plans import study, variational
+
+    of = inspect.signature(study.run_study).parameters
+    want = of["sweeps"].default, of["keep_from"].default
+    assert (evaluation.STUDY_SWEEPS, evaluation.STUDY_FROM) == (modelling.SWEEPS, modelling.KEPT_FROM) == want
+    assert modelling.PASSES == inspect.signature(variational.fit).parameters["passes"].default
+
+
+def test_samples_in_sql_are_those_after_burn_in():
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    assert con.sql(f"SELECT DISTINCT sweeps FROM ({entry.oracle_sql()['a12_posterior_mean']})").fetchall() == [(10,)]
+    assert {r[0] for r in con.sql(f"SELECT iter FROM ({entry.oracle_sql()['s8_window_flush']})").fetchall()} == set(range(21, 31))

@@ -225,7 +225,7 @@ def _(spark, folder):
     return evaluate.confusion(evaluate.predicted(features(spark, folder), ETA))
 
 
-STUDY_SWEEPS, STUDY_FROM = 3, 2
+STUDY_SWEEPS, STUDY_FROM = 30, 21
 SETS = {"lang": [["en", "fr"], ["en", "fr", "de"], ["en", "fr", "de", "es"]], "source": [[f"src{i}" for i in range(5)]]}
 
 

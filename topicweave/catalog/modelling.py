@@ -18,7 +18,10 @@ from topicweave.sources.tables import table
 K = 4
 MODEL = gibbs.Model(k=K)
 TOKEN_MODEL = gibbs.Model(k=K, grain="token")
-SWEEPS = 4
+#: Sweeps before ``KEPT_FROM`` are burn-in.
+SWEEPS, KEPT_FROM = 30, 21
+PASSES = 20
+LAGS = SWEEPS - KEPT_FROM
 
 
 def written_corpus(spark, folder):
@@ -377,9 +380,9 @@ v{s} AS (SELECT doc_id, word, n, {', '.join(f"exp(l{i} - top) / ({sums}) * n AS
     return out
 
 
-@query("m5_variational_model", f"WITH {variational_sql(2, 2)} SELECT doc_id, word, round(c0, 6) AS c0, round(c1, 6) AS c1 FROM v2")
+@query("m5_variational_model", f"WITH {variational_sql(2, PASSES)} SELECT doc_id, word, round(c0, 6) AS c0, round(c1, 6) AS c1 FROM v{PASSES}")
 def _(spark, folder):
-    state = variational.fit(written_corpus(spark, folder), variational.Settings(k=2), passes=2)
+    state = variational.fit(written_corpus(spark, folder), variational.Settings(k=2), PASSES)
     return state.select("doc_id", "word", *[F.round(F.col("c")[i], 6).alias(f"c{i}") for i in range(2)])
 
 
@@ -397,12 +400,12 @@ def _(spark, folder):
 # -- samples -----------------------------------------------------------------------------------------------------------
 
 def stacked(sql, table: str, name: str, key: str) -> str:
-    """Samples ``gs`` or ``bs``: one union member for each sweep and topic."""
+    """Samples ``gs`` or ``bs``: one union member for each retained sweep and topic."""
     out = chain_sql(K, SWEEPS)
-    for i in range(1, SWEEPS + 1):
+    for i in range(KEPT_FROM, SWEEPS + 1):
         out += f",\n{sql(f'b{i}', f'{table}{i}')}"
     rows = " UNION ALL ".join(
-        long_sql(K, f"{table}{i}", f"{i} AS iter, {key}", lambda t: f"{'g' if key == 'doc_id' else 'p'}{t}", "value") for i in range(1, SWEEPS + 1))
+        long_sql(K, f"{table}{i}", f"{i} AS iter, {key}", lambda t: f"{'g' if key == 'doc_id' else 'p'}{t}", "value") for i in range(KEPT_FROM, SWEEPS + 1))
     return f"{out},\n{name} AS ({rows})"
 
 
@@ -411,9 +414,9 @@ BETA_SAMPLES = stacked(beta_sql, "be", "bs", "word") + """,
 top4 AS (SELECT word FROM corpus GROUP BY word ORDER BY sum(n) DESC, word LIMIT 4)"""
 
 
-def sample_tables(spark, folder):
+def sample_tables(spark, folder, keep_from=KEPT_FROM):
     """``(gamma, beta)`` samples of a chain's sweeps, long rows."""
-    chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(SWEEPS, keep_from=1)
+    chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(SWEEPS, keep_from=keep_from)
     return (
         chain.samples("gamma").select("iter", "doc_id", F.posexplode_outer("g").alias("topic", "value")),
         chain.samples("beta").select("iter", "word", F.posexplode_outer("b").alias("topic", "value")),
@@ -432,12 +435,12 @@ def frequent_series(spark, folder):
 
 
 @query("s5_samples_saved", f"""WITH {GAMMA_SAMPLES}
-SELECT iter::INT AS iter, doc_id, topic, round(value, 9) AS value FROM gs WHERE iter >= 3""")
+SELECT iter::INT AS iter, doc_id, topic, round(value, 9) AS value FROM gs WHERE iter >= {KEPT_FROM}""")
 def _(spark, folder):
     path = scratch_path(spark, "samples")
-    gamma, _ = sample_tables(spark, folder)
+    gamma, _ = sample_tables(spark, folder, keep_from=1)
     store.append_window(gamma, path)
-    return store.read_samples(spark, path, first=3).withColumn("value", F.round("value", 9))
+    return store.read_samples(spark, path, first=KEPT_FROM).withColumn("value", F.round("value", 9))
 
 
 @query("s6_state_saved", f"WITH {START} SELECT * FROM b0")
@@ -451,7 +454,7 @@ SELECT iter::INT AS iter, count(*)::BIGINT AS rows, round(sum(value), 4) AS tota
 def _(spark, folder):
     path = scratch_path(spark, "samples")
     gamma = materialize(sample_tables(spark, folder)[0], "samples")
-    for first in range(1, SWEEPS + 1, 2):
+    for first in range(KEPT_FROM, SWEEPS + 1, 2):
         store.append_window(gamma.where(F.col("iter").between(first, first + 1)), path)
     return store.read_samples(spark, path).groupBy("iter").agg(
         F.count("*").alias("rows"), F.round(F.sum("value"), 4).alias("total")
@@ -459,18 +462,18 @@ def _(spark, folder):
 
 
 @query("p14_burn_in", f"""WITH {BETA_SAMPLES}
-SELECT iter::INT AS iter, topic, count(*)::BIGINT AS terms, round(sum(value), 6) AS total FROM bs WHERE iter BETWEEN 2 AND 3 GROUP BY ALL""")
+SELECT iter::INT AS iter, topic, count(*)::BIGINT AS terms, round(sum(value), 6) AS total FROM bs WHERE iter BETWEEN {KEPT_FROM} AND {SWEEPS} GROUP BY ALL""")
 def _(spark, folder):
-    kept = diagnostics.retained(sample_tables(spark, folder)[1], 2, 3)
+    kept = diagnostics.retained(sample_tables(spark, folder, keep_from=1)[1], KEPT_FROM, SWEEPS)
     return kept.groupBy("iter", "topic").agg(
         F.count("*").alias("terms"), F.round(F.sum("value"), 6).alias("total")
     )
 
 
 @query("a12_posterior_mean", f"""WITH {BETA_SAMPLES}
-SELECT word, topic, round(avg(value), 9) AS mean, count(*)::BIGINT AS sweeps FROM bs WHERE iter >= 2 GROUP BY word, topic""")
+SELECT word, topic, round(avg(value), 9) AS mean, count(*)::BIGINT AS sweeps FROM bs WHERE iter >= {KEPT_FROM} GROUP BY word, topic""")
 def _(spark, folder):
-    means = diagnostics.posterior_mean(diagnostics.retained(sample_tables(spark, folder)[1], 2), "word", "topic")
+    means = diagnostics.posterior_mean(diagnostics.retained(sample_tables(spark, folder)[1], KEPT_FROM), "word", "topic")
     return means.withColumn("mean", F.round("mean", 9))
 
 
@@ -488,12 +491,12 @@ def _(spark, folder):
 @query("w4_autocorrelation", f"""WITH {BETA_SAMPLES},
 x AS (SELECT word, topic, iter, value - avg(value) OVER (PARTITION BY word, topic) AS x FROM bs),
 v AS (SELECT word, topic, sum(x * x) AS c0 FROM x GROUP BY word, topic HAVING sum(x * x) > 0),
-l AS (SELECT unnest(range(0, 3)) AS lag),
+l AS (SELECT unnest(range(0, {LAGS + 1})) AS lag),
 q AS (SELECT a.word, a.topic, l.lag, sum(a.x * b.x) AS c FROM x a, l, x b
       WHERE b.word = a.word AND b.topic = a.topic AND b.iter = a.iter - l.lag GROUP BY ALL)
 SELECT word, topic, lag::INT AS lag, round(c / c0, 6) AS acf FROM q JOIN v USING (word, topic)""")
 def _(spark, folder):
-    rows = diagnostics.autocorrelation(sample_tables(spark, folder)[1], 2, "word", "topic")
+    rows = diagnostics.autocorrelation(sample_tables(spark, folder)[1], LAGS, "word", "topic")
     return rows.withColumn("acf", F.round("acf", 6))
 
 
