@@ -150,3 +150,8 @@ def test_url_trees_learn_from_labels(spark):
     labelled = pages.withColumn("blocked", F.col("page_id") % 6 > 3)
     got = url_filter.judge(pages, labelled).collect()
     assert sum((r["verdict"] == "block") == (r["page_id"] % 6 > 3) for r in got) == 600
+
+
+def test_long_documents_may_pass_the_budget():
+    assert list(mixing.fit([300_000], [3], 500_000)) == [2]
+    assert list(mixing.fit([300_000], [3], 440_000)) == [1]

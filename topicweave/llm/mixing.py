@@ -58,7 +58,8 @@ def targets(totals: DataFrame, weights: Sequence[int], share: float, most: float
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take, at most ``counts``, so that the words come nearest to ``budget``.
 
-    What lies beyond the knapsack's reach is taken in proportion first. All three are whole numbers, lengths positive and
+    What lies beyond the knapsack's reach is taken in proportion first and not given back, so with documents longer than the
+    knapsack a still nearer sum may exist: lengths 1,000 x 5 and 300,000 x 3 give 605,000 for 500,000. All three are whole numbers, lengths positive and
     distinct.
     """
     lengths, counts = [int(x) for x in lengths], [int(x) for x in counts]
@@ -73,7 +74,12 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     room = left + min(max(lengths), KNAPSACK_WORDS)
     items = [(lengths[k] * m, k, m) for k in range(len(lengths)) for m in _powers(min(counts[k] - taken[k], room // lengths[k]))]
     items.sort(key=lambda x: (x[0] * 2654435761 % (1 << 32), x))  # lengths in a mixed order, the same every time
-    for k, m in _knapsack(items, left, room):
+    chosen = _knapsack(items, left, room)
+    # the shortest document beyond the knapsack may pass the budget by less than its sum falls short
+    beyond = min(((lengths[k], k) for k in range(len(lengths)) if lengths[k] > room and taken[k] < counts[k]), default=None)
+    if beyond and beyond[0] - left < abs(left - sum(lengths[k] * m for k, m in chosen)):
+        chosen = [(beyond[1], 1)]
+    for k, m in chosen:
         taken[k] += m
     return np.array(taken, np.int64)
 
