@@ -119,3 +119,11 @@ def test_section_counts(odd, clashing, empty):
 def test_crossing_tokens_go_to_the_larger_side():
     owner, crossing = token_counts.attribute(np.array([3, 8, 10]), np.array([0, 4, 9]))
     assert owner.tolist() == [0, 1, 1] and crossing.tolist() == [False, True, True]
+
+
+def test_query_returns_every_section(spark):
+    from topicweave.llm import queries
+
+    got = queries.op8_token_counts(spark, SF)
+    want = sum(max(1, len(token_counts.line_starts((r["text"] or "").encode()))) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    assert got.columns == ["doc_id", "section", "start", "end", "n_tokens", "n_crossing"] and got.count() == want

@@ -40,7 +40,7 @@ def op7_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.document_counts(
+    return token_counts.section_counts(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
