@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicweave.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, quality_trees, sharding, token_counts, token_files, url_filter
+from topicweave.llm import bpe, exact_dedup, fill_middle, mixing, ngram_join, quality_rules, quality_trees, sharding, token_counts, token_files, url_filter
 from topicweave.sources.tables import table
 
 
@@ -54,13 +54,32 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    restored = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_join, op3_token_files, op4_mixing, op5_url_filter, op6_sharding, op7_quality_trees, op8_token_counts,
-    op9_bpe, op10_exact_dedup,
+    op9_bpe, op10_exact_dedup, op11_fill_middle,
 )}
 
 ORACLES = {
     "op10_exact_dedup": """WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM t GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)""",
+    "op11_fill_middle": """WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id::VARCHAR) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS us, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+  ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+c AS (SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(us[1:a], '') AS prefix, array_to_string(us[a + 1:b], '') AS middle, array_to_string(us[b + 1:], '') AS suffix,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p""",
 }
