@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +60,21 @@ def temporary_names(columns: Sequence[str], *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes in a text column without nulls; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits spread over each other."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import whole
+from topicweave.llm.common import slices, whole
 
 #: What stands before prefix, suffix and middle.
 MARKERS = ("<P>", "<S>", "<M>")
@@ -90,17 +90,6 @@ def arranged(batch: pa.RecordBatch, markers: tuple[str, str, str], plain: int, s
         names=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
-def slices(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``limit`` bytes of text; a longer text is a slice of its own."""
-    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy())
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def _check(markers: tuple[str, str, str]) -> None:
     """Markers must be found again without doubt: none may lie in another or begin with the end of one."""
     for a in markers:
