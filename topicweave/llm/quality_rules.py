@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicweave.llm.common import bounded_sample, uniform
-from topicweave.llm.text_stats import COUNTS, SHARES, with_statistics
+from topicweave.llm.text_stats import COUNTS, SHARES, one_row_each, with_statistics
 from topicweave.session import materialize
 
 
@@ -174,14 +174,15 @@ def base_failed(min_words: int = 50, repeat_percent: int = 50) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> DataFrame:
     """Statistics and verdict of every row of ``docs``; rules are learned from ``labels (doc_id, quality)``, 0 for junk.
 
-    Returns ``doc_id``, COUNTS, ``base_failed``, ``kept``, ``reason`` (the first rule met) and SHARES.
+    Returns ``doc_id``, COUNTS, ``base_failed``, ``kept``, ``reason`` (the first rule met), SHARES and ``text_digest``, which tells
+    rows of one id apart. Of a labelled id with several texts the one with the least digest trains.
     """
     stats = materialize(with_statistics(docs), "statistics")
     junk = labels.where("quality in (0, 1)").groupBy("doc_id").agg((F.min("quality") == 0).alias("junk"))
     # what the base rules reject anyway teaches nothing
-    known = stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(junk, "doc_id")
+    known = one_row_each(stats.where(~base_failed()).join(junk, "doc_id"))
     rules = learn(known, RULE_FEATURES, "junk", how=how)
     return stats.select(
         "doc_id", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~rules.rejects()).alias("kept"),
-        rules.reason().alias("reason"), *SHARES,
+        rules.reason().alias("reason"), *SHARES, "text_digest",
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from topicweave.llm.common import bounded_sample
 from topicweave.llm.histogram_trees import Forest, Training, fit
-from topicweave.llm.text_stats import SHARES, with_statistics
+from topicweave.llm.text_stats import SHARES, one_row_each, with_statistics
 from topicweave.session import materialize
 
 FEATURES = ("n_words", "n_dup_lines", *SHARES)
@@ -31,7 +31,7 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def train(stats: DataFrame, labels: DataFrame, sample: int = 30_000, how: Training = Training()) -> Forest:
     """Trees from ``labels (doc_id, quality)`` joined to the statistics, held-out rows left out."""
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("y"))
-    rows = stats.dropDuplicates(["doc_id"]).join(known.where(~held_out(F.col("doc_id"))), "doc_id")
+    rows = one_row_each(stats.join(known.where(~held_out(F.col("doc_id"))), "doc_id"))
     table = bounded_sample(rows, "doc_id", sample).select("doc_id", "y", *FEATURES).toPandas().sort_values("doc_id")
     return fit(table[list(FEATURES)].to_numpy(float), table["y"].to_numpy(float), how)
 
