@@ -155,3 +155,19 @@ def test_url_trees_learn_from_labels(spark):
 def test_long_documents_may_pass_the_budget():
     assert list(mixing.fit([300_000], [3], 500_000)) == [2]
     assert list(mixing.fit([300_000], [3], 440_000)) == [1]
+
+
+def test_urls_are_allowed_where_one_class_is_labelled(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/a"), (2, None), (3, "http://other.xyz/")], "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_fit_is_within_half_the_longest_document():
+    draw = np.random.default_rng(4)
+    for _ in range(20):
+        lengths = np.unique(np.concatenate([draw.integers(1, 90, 3), draw.integers(100_000, 400_000, 3)]))
+        counts = draw.integers(1, 6, len(lengths))
+        budget = int(draw.integers(0, (lengths * counts).sum()))
+        got = mixing.fit(lengths, counts, budget)
+        assert (got >= 0).all() and (got <= counts).all() and abs(int((got * lengths).sum()) - budget) <= lengths.max() / 2

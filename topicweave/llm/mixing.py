@@ -1,11 +1,14 @@
 """Mixing sources to target weights by fitting exact word budgets.
 
 Documents are counted by source and exact length. A source's target is split into full copies of the source and a remaining
-budget below one copy. All but the last 65,536 words of the budget take the same share of the documents of every length, and
-the rest is fitted by a bounded knapsack over the numbers of documents left per length, to the nearest sum. That
-yields how many more documents of each length to take; which ones is settled by a hash of seed and id, so reruns agree.
-
-Only counts by (source, length) meet in one task: at most as many rows as there are text lengths. Selection ranks documents
+budget below one copy. All but the end of the budget (``KNAPSACK_WORDS``, or the longest document if that is more) takes the same
+share of the documents of every length, and the rest is fitted by a bounded knapsack over the numbers of documents left per length, to
+the nearest sum. That yields how many more documents of each length to take; which ones is settled by a hash of seed and id, so reruns
+agree. The words that a source takes differ from its target by half its longest document at most, since documents taken one after
+the other pass the target by a step of one document, and the knapsack knows all that are left.
+
+Only counts by (source, length) meet in one task: at most as many rows as there are text lengths. The same rows, one for each source and
+length, are joined to the documents; they grow with the variety of lengths, not with the documents, so Spark may broadcast them. Selection ranks documents
 within slices of a length's documents, so a length that a third of all rows share is spread over many tasks.
 
 Defined cases: an empty or null text has length 0 and is never taken; the null source is a source of its own, the last one;
@@ -26,7 +29,7 @@ from topicweave.session import materialize
 
 #: Rows that a slice of one length holds on average at most.
 SLICE_ROWS = 20_000
-#: What the knapsack fits at the end.
+#: What the knapsack fits at the end, at least.
 KNAPSACK_WORDS = 1 << 16
 
 
@@ -58,27 +61,25 @@ def targets(totals: DataFrame, weights: Sequence[int], share: float, most: float
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take, at most ``counts``, so that the words come nearest to ``budget``.
 
-    What lies beyond the knapsack's reach is taken in proportion first and not given back, so with documents longer than the
-    knapsack a still nearer sum may exist: lengths 1,000 x 5 and 300,000 x 3 give 605,000 for 500,000. All three are whole numbers, lengths positive and
+    What the knapsack doesn't reach is taken in proportion first and not given back, so a still nearer sum may exist where few
+    documents are long: lengths 1,000 x 5 and 300,000 x 3 give 605,000 for 500,000. All three are whole numbers, lengths positive and
     distinct.
     """
     lengths, counts = [int(x) for x in lengths], [int(x) for x in counts]
     total = sum(a * b for a, b in zip(lengths, counts))
     if budget >= total:
         return np.array(counts, np.int64)
-    taken = [c * max(0, budget - KNAPSACK_WORDS) // total for c in counts]
+    longest = max(lengths)
+    reach = max(KNAPSACK_WORDS, longest)
+    taken = [c * max(0, budget - reach) // total for c in counts]
     left = budget - sum(a * b for a, b in zip(lengths, taken))
     for k in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        step = max(0, min(counts[k] - taken[k], (left - KNAPSACK_WORDS) // lengths[k]))
+        step = max(0, min(counts[k] - taken[k], (left - reach) // lengths[k]))
         taken[k], left = taken[k] + step, left - step * lengths[k]
-    room = left + min(max(lengths), KNAPSACK_WORDS)
+    room = left + longest
     items = [(lengths[k] * m, k, m) for k in range(len(lengths)) for m in _powers(min(counts[k] - taken[k], room // lengths[k]))]
     items.sort(key=lambda x: (x[0] * 2654435761 % (1 << 32), x))  # lengths in a mixed order, the same every time
     chosen = _knapsack(items, left, room)
-    # the shortest document beyond the knapsack may pass the budget by less than its sum falls short
-    beyond = min(((lengths[k], k) for k in range(len(lengths)) if lengths[k] > room and taken[k] < counts[k]), default=None)
-    if beyond and beyond[0] - left < abs(left - sum(lengths[k] * m for k, m in chosen)):
-        chosen = [(beyond[1], 1)]
     for k, m in chosen:
         taken[k] += m
     return np.array(taken, np.int64)

@@ -130,13 +130,14 @@ class UrlTrees:
 
 
 def boost(rows: DataFrame, features: Sequence[str], label: str, how: Boosting = Boosting()) -> UrlTrees:
-    """Trees whose margin is above 0 where ``label`` is likelier true than false. ``rows`` is read once for each level."""
+    """Trees whose margin is above 0 where ``label`` is likelier true than false; without labels of both classes there is nothing to
+    tell apart and the margin is below 0. ``rows`` is read once for each level."""
     marks = F.array(*[F.lit(i / how.bins) for i in range(how.bins + 1)])
     stats = rows.agg(
         F.count_if(label).alias("p"), F.count("*").alias("n"), *[F.percentile_approx(f, marks, 10_000).alias(f) for f in features]).collect()[0]
     model = UrlTrees()
     if not 0 < stats["p"] < stats["n"]:
-        model.base = -1.0 if not stats["p"] else 1.0
+        model.base = -1.0
         return model
     model.base = math.log(stats["p"] / (stats["n"] - stats["p"]))
     cuts = {f: [(a + b) / 2 for a, b in zip(v, v[1:])] for f in features if len(v := sorted(set(stats[f]))) > 1}
