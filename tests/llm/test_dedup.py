@@ -32,11 +32,31 @@ def test_index_persists_and_grows(spark, odd, empty):
     a = {r["doc_id"]: r["kept"] for r in index.add(first).collect()}
     again = {r["doc_id"]: r["kept"] for r in index.add(first).collect()}
     assert a == again and a[7] and not a[6] and a[4] and not a[3] and a[1] and not a[0]
-    b = {r["doc_id"]: r for r in exact_dedup.DigestIndex(spark, index.path, 4).add(second).collect()}
+    b = {r["doc_id"]: r for r in exact_dedup.DigestIndex(spark, index.path).add(second).collect()}
     assert b[4]["kept"] and b[7]["kept"] and not b[6]["kept"] and b[8]["kept"]
     assert index.table().count() == odd.selectExpr("coalesce(text, '')").distinct().count()
 
 
+def test_index_grows_its_buckets_and_is_found_by_a_new_session(spark, odd):
+    index = exact_dedup.new_index(spark, buckets=2, bucket_rows=8)
+    first, second = odd.where("doc_id < 120"), odd.where("doc_id >= 110 or doc_id is null")
+    decided = [index.add(first).collect(), index.add(second).collect()]
+    texts = odd.selectExpr("coalesce(text, '')").distinct().count()
+    assert index.buckets == 16 and index.table().count() == texts
+    other = exact_dedup.DigestIndex(spark.newSession(), index.path, bucket_rows=8)
+    assert other.buckets == 16 and other.table().count() == texts
+    assert sorted(map(str, other.add(second).collect())) == sorted(map(str, decided[1]))
+    whole = {r["digest"] for part in decided for r in part if r["kept"]}
+    assert len(whole) == texts
+
+
+def test_a_text_under_many_ids(spark):
+    rows = [(i, "same") for i in range(4000)] + [(i, f"text {i}") for i in range(4000, 5000)] + [(None, "same")] * 3
+    got = exact_dedup.new_index(spark).add(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) == 1001
+    assert {(r["keep_id"], r["group_size"]) for r in got if r["doc_id"] is None or r["doc_id"] < 4000} == {(3999, 4003)}
+
+
 def brute_components(docs):
     sets = {}
     for doc_id, text in docs:
