@@ -121,10 +121,9 @@ SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN walk ON walk.wo
     "op13_repeated_windows": r"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 s AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM t WHERE len(words) >= 20),
 w AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(words[pos:pos + 19], ' ') ORDER BY doc_id, pos) AS place FROM s),
-gone AS (SELECT doc_id, list(DISTINCT pos) AS pos FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS pos FROM w WHERE place > 1) GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM w WHERE place > 1),
 p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM t),
-k AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS kept, count(*) AS n FROM p LEFT JOIN gone USING (doc_id)
-  WHERE gone.pos IS NULL OR NOT list_contains(gone.pos, p.pos) GROUP BY p.doc_id)
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM p ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM t LEFT JOIN k USING (doc_id)""",
 }
