@@ -17,22 +17,26 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.llm.common import whole
-from topicweave.llm.pieces import Remembered, parts
+from topicweave.llm.common import slices, whole
+from topicweave.llm.pieces import parts
 from topicweave.session import scratch_path
 
 NO_ID = -(1 << 63)
+MANIFEST = "number long, file string, kind string, documents long, tokens long"
+#: Bytes of text that are encoded together.
+BATCH = 8 << 20
 
 
 def mounted(path: str) -> str:
@@ -43,29 +47,82 @@ def mounted(path: str) -> str:
     return url.path
 
 
+# White space of Unicode and its like; a text with a space that has some on both sides, or before it and the end behind it, is cut by
+# ``parts``, all others at every space.
+_WHITE = r"[\pZ\x09-\x0D\x1C-\x20\x{85}]"
+_AMID_SPACES = rf"{_WHITE} (?:{_WHITE}|\z)"
+
+
+def ragged(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers ``begin, begin + 1, ...`` of each range, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(begins - before, lengths)
+
+
 class PartEncoder:
-    """Encodes parts of texts by a tokenizer file; parts seen before come from a bounded cache."""
+    """Encodes parts of texts by a tokenizer file. Texts are taken a batch at a time: parts are cut and numbered by array functions, so
+    only the different parts of a batch are looked up, and only unknown ones encoded. The ids of known parts stay in one packed array
+    beside their texts; when more than ``known`` parts are held, those of the present batch alone stay."""
 
-    def __init__(self, path: str, kind: str, cached: int = 450_000):
+    def __init__(self, path: str, kind: str, known: int = 2_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.code = Tokenizer.from_file(path), {"<u2": "H", "<u4": "I"}[kind]
-        self.known = Remembered(lambda part: self._ids(" " + part), cached)
-
-    def _ids(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, texts: Sequence[str], rows: int = 500) -> Iterator[bytes]:
-        """Ids of each text, little-endian as all machines that Spark runs on. Unknown parts of some texts are encoded
-        together, which the library does faster."""
-        for at in range(0, len(texts), rows):
-            cut = [parts(t) for t in texts[at:at + rows]]
-            new = [p for p in set(chain.from_iterable(rest for _, rest in cut)) if p not in self.known and p not in self.known.old]
-            for part, made in zip(new, self.tokenizer.encode_batch_fast([" " + p for p in new], add_special_tokens=False)):
-                self.known.put(part, array(self.code, made.ids).tobytes())
-            for first, rest in cut:
-                yield self._ids(first) + b"".join(map(self.known.__getitem__, rest))
+        self.tokenizer, self.kind, self.most = Tokenizer.from_file(path), np.dtype(kind), known
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.begins = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def _made(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and how many each has."""
+        made = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, made), np.int64, len(made))
+        return np.fromiter(chain.from_iterable(made), self.kind, int(lengths.sum())), lengths
+
+    def _find(self, different: pa.Array) -> np.ndarray:
+        """The places of parts among the known ones; learns those that are new."""
+        at = pc.index_in(different, value_set=self.known)
+        new = different.filter(at.is_null())
+        if not len(new):
+            return at.to_numpy()
+        if len(self.known) + len(new) > self.most and len(self.known):
+            old = at.drop_null().to_numpy()
+            lengths = np.diff(self.begins)[old]
+            self.ids = self.ids[ragged(self.begins[old], lengths)]
+            self.known, self.begins = self.known.take(pa.array(old)), np.concatenate([[0], np.cumsum(lengths)])
+        ids, lengths = self._made([" " + part for part in new.to_pylist()])
+        self.known = pa.concat_arrays([self.known, new])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+        return pc.index_in(different, value_set=self.known).to_numpy()
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, ``end_id`` behind each, and how many each has."""
+        texts = texts.cast(pa.large_string())
+        odd = np.flatnonzero(pc.match_substring_regex(texts, _AMID_SPACES).to_numpy(zero_copy_only=False))
+        cut = pc.split_pattern(texts, " ")
+        offsets = cut.offsets.to_numpy()
+        begins, counts = offsets[:-1] + 1, np.diff(offsets) - 1
+        firsts, flat = cut.values.take(pa.array(offsets[:-1])).to_pylist(), [cut.values]
+        behind = len(cut.values)
+        for i in odd:
+            firsts[i], rest = parts(texts[int(i)].as_py())
+            flat.append(pa.array(rest, pa.large_string()))
+            begins[i], counts[i], behind = behind, len(rest), behind + len(rest)
+        # the entries of each text: its first part, the others, the end
+        which = ragged(begins, counts)
+        encoded = pa.concat_arrays(flat).take(pa.array(which)).dictionary_encode()
+        places = self._find(encoded.dictionary)
+        ids, lengths = self._made(firsts)
+        pool = np.concatenate([self.ids, ids, np.array([end_id], self.kind)])
+        edges = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths), [len(pool)]])
+        entry = np.empty(len(which) + 2 * len(texts), np.int64)
+        starts = np.cumsum(counts + 2) - counts - 2
+        entry[starts] = len(self.begins) - 1 + np.arange(len(texts))
+        entry[starts + counts + 1] = len(edges) - 2
+        entry[ragged(starts + 1, counts)] = places[encoded.indices.to_numpy()]
+        sizes = np.diff(edges)[entry]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return pool[ragged(edges[entry], sizes)], total[starts + counts + 2] - total[starts]
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +131,7 @@ def part_encoder(path: str, kind: str) -> PartEncoder:
 
 
 def write(docs: DataFrame, tokenizer: str, vocabulary_size: int, end_id: int = 0, folder: str | None = None, files: int | None = None) -> DataFrame:
-    """Write ``docs (doc_id, text)`` and return the manifest ``file, kind, documents, tokens, base, first_document``.
+    """Write ``docs (doc_id, text)`` and return the manifest ``number, file, kind, documents, tokens, base, first_document``.
 
     ``files`` is the number of ranges, by default that of the shuffle partitions.
     """
@@ -83,36 +140,37 @@ def write(docs: DataFrame, tokenizer: str, vocabulary_size: int, end_id: int = 0
     place, kind = mounted(target), "<u2" if vocabulary_size <= 1 << 16 else "<u4"
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
-        encoder, end = part_encoder(tokenizer, kind), np.array([end_id], kind).tobytes()
+        encoder = part_encoder(tokenizer, kind)
         os.makedirs(place, exist_ok=True)
         name, own = f"{place}/{number:05d}", f"{place}/.{number:05d}-{uuid.uuid4().hex}"
         documents = tokens = 0
         with open(own + ".bin", "wb") as ids_file, open(own + ".idx", "wb") as index_file:
-            for batch in batches:
-                for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"].to_list())):
-                    ids += end
-                    index_file.write(np.array([doc_id, tokens], "<i8").tobytes())
-                    ids_file.write(ids)
-                    documents, tokens = documents + 1, tokens + len(ids) // np.dtype(kind).itemsize
+            for batch in chain.from_iterable(slices(b, BATCH) for b in batches):
+                ids, lengths = encoder.encode(batch.column("text"), end_id)
+                offsets = tokens + np.cumsum(lengths) - lengths
+                index_file.write(np.stack([batch.column("doc_id").to_numpy(), offsets], 1).astype("<i8").tobytes())
+                ids_file.write(ids.tobytes())
+                documents, tokens = documents + len(lengths), tokens + len(ids)
             index_file.write(np.array([documents, tokens], "<i8").tobytes())
         for ending in (".bin", ".idx"):
             os.replace(own + ending, name + ending)
-        yield pd.DataFrame({"file": [name], "kind": [kind], "documents": [documents], "tokens": [tokens]})
+        yield pa.RecordBatch.from_pydict(
+            {"number": [number], "file": [name], "kind": [kind], "documents": [documents], "tokens": [tokens]})
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), whole().alias("text"))
     ranged = rows.repartitionByRange(files, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ranged.mapInPandas(run, "file string, kind string, documents long, tokens long").write.parquet(f"{target}/manifest")
+    ranged.mapInArrow(run, MANIFEST).write.parquet(f"{target}/manifest")
     return manifest(spark, target)
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest with each file's base: one row per file, so the sums run over few rows."""
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    rows = spark.read.schema("file string, kind string, documents long, tokens long").parquet(f"{folder}/manifest")
+    before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    rows = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     return rows.where("documents > 0").select(
         "*", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long")).alias("base"),
         F.coalesce(F.sum("documents").over(before), F.lit(0).cast("long")).alias("first_document"),
