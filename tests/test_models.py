@@ -39,15 +39,12 @@ def test_chain_does_not_depend_on_partitions_and_resumes(spark, toy):
 
 
 def test_zero_head_leaves_the_sweep_unchanged(spark, toy, toy_labels):
-    model = gibbs.Model(k=2)
-    state = gibbs.Chain(spark, model).start(toy).state()
-    plain = gibbs.sweep_once(state, model, 1)
-    zero = [[0.5, 0.5], [0.5, 0.5]]
-    for boost, extra in ((gibbs.ratio_boost(zero, 2), None), (gibbs.label_boost(zero, 2), toy_labels.select("doc_id", "y"))):
-        got = gibbs.sweep_once(state, model, 1, boost, extra)
-        assert rows(got.select("doc_id", "word", F.col("c").cast("string"))) == rows(
-            plain.select("doc_id", "word", F.col("c").cast("string"))
-        )
+    def after(head):
+        chain = gibbs.Chain(spark, gibbs.Model(k=2, head=head)).start(toy, toy_labels).run(1)
+        return rows(chain.state().select("doc_id", "word", F.col("c").cast("string")))
+
+    for kind in ("ratio", "label"):
+        assert after(gibbs.Head(kind, ((0.5, 0.5), (0.5, 0.5)))) == after(None)
 
 
 def test_variational_mass(spark, toy):
@@ -79,8 +76,8 @@ def test_partial_labels_lose_no_token(spark, toy):
     some = spark.createDataFrame([(0, 0), (1, 1)], "doc_id bigint, y int")
     seeded = topic_counts.label_seeded_tokens(toy, some, 2, 3)
     assert seeded.count() == toy.agg(F.sum("n")).first()[0]
-    eta = [[0.5, -0.5], [-0.5, 0.5]]
-    chain = gibbs.Chain(spark, gibbs.Model(k=2), boost=gibbs.label_boost(eta, 2), doc_extra=some).start(toy).run(3)
+    head = gibbs.Head("label", ((0.5, -0.5), (-0.5, 0.5)))
+    chain = gibbs.Chain(spark, gibbs.Model(k=2, head=head)).start(toy, some).run(3)
     assert topic_counts.mass_by_document(chain.state(), toy, 2).where("not conserved").count() == 0
 
 

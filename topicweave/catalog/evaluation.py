@@ -226,11 +226,14 @@ def _(spark, folder):
 
 
 STUDY_SWEEPS, STUDY_FROM = 30, 21
-SETS = {"lang": [["en", "fr"], ["en", "fr", "de"], ["en", "fr", "de", "es"]], "source": [[f"src{i}" for i in range(5)]]}
+SETS = [study.CategorySet("lang", c) for c in (("en", "fr"), ("en", "fr", "de"), ("en", "fr", "de", "es"))] + [
+    study.CategorySet("source", tuple(f"src{i}" for i in range(5)))]
+SEEDS = (7, 8, 9)
 
 
-def study_sql(column: str, categories: list[str]) -> str:
+def study_sql(one: study.CategorySet, seed: int = 7) -> str:
     """One category set: chain, mean of the retained samples, cheapest mapping, hits by class."""
+    column, categories = one.column, one.categories
     k, kept = len(categories), f"{column} IN {in_list(categories)}"
     base = f"{CORPUS},\nsub AS (SELECT corpus.* FROM corpus JOIN documents USING (doc_id) WHERE {kept})"
     samples = range(STUDY_FROM, STUDY_SWEEPS + 1)
@@ -238,7 +241,7 @@ def study_sql(column: str, categories: list[str]) -> str:
     means = ", ".join(f"avg(g{i}) AS g{i}" for i in range(k))
     top = "greatest(" + ", ".join(f"g{i}" for i in range(k)) + ")"
     best = "CASE " + " ".join(f"WHEN g{i} = {top} THEN {i}" for i in range(k)) + " END"
-    return f"""SELECT * FROM (WITH {chain_sql(k, STUDY_SWEEPS, 7, base, 'sub')},
+    return f"""SELECT * FROM (WITH {chain_sql(k, STUDY_SWEEPS, seed, base, 'sub')},
 {gammas},
 g AS (SELECT doc_id, {means} FROM ({' UNION ALL '.join(f'SELECT * FROM ga{i}' for i in samples)}) GROUP BY doc_id),
 lab AS (SELECT doc_id, {column} AS category, (dense_rank() OVER (ORDER BY {column}) - 1)::INT AS y FROM documents WHERE {kept}),
@@ -247,11 +250,18 @@ lg AS ({long_sql(k, 'f', 'doc_id', lambda i: f'g{i}', 'value', ', category, y')}
 cost AS (SELECT y, topic, count(*) - sum(value) AS cost FROM lg GROUP BY y, topic),
 {permutations_sql(k)},
 p AS (SELECT b.y, b.category, m.y AS pred FROM (SELECT y, category, {best} AS topic FROM f) b JOIN m USING (topic))
-SELECT {k} AS topics, y, category, count(*)::BIGINT AS docs, count(*) FILTER (y = pred)::BIGINT AS hits,
+SELECT {seed} AS seed, {k} AS topics, y, category, count(*)::BIGINT AS docs, count(*) FILTER (y = pred)::BIGINT AS hits,
   round(count(*) FILTER (y = pred)::DOUBLE / count(*), 9) AS accuracy FROM p GROUP BY y, category)"""
 
 
-@query("m20_study", " UNION ALL ".join(study_sql(column, one) for column, sets in SETS.items() for one in sets))
+@query("m20_study", " UNION ALL ".join(map(study_sql, SETS)))
 def _(spark, folder):
-    by_column = [study.run_study(spark, folder, sets, STUDY_SWEEPS, STUDY_FROM, column=column) for column, sets in SETS.items()]
-    return by_column[0].unionByName(by_column[1])
+    return study.run_study(spark, folder, SETS, STUDY_SWEEPS, STUDY_FROM)
+
+
+@query("m20_seeds", f"""SELECT topics, category, count(*)::BIGINT AS seeds, round(avg(accuracy), 9) AS mean, min(accuracy) AS least, max(accuracy) AS most
+FROM ({' UNION ALL '.join(study_sql(one, seed) for one in SETS for seed in SEEDS)}) GROUP BY topics, category""")
+def _(spark, folder):
+    rows = study.run_study(spark, folder, SETS, STUDY_SWEEPS, STUDY_FROM, SEEDS)
+    return rows.groupBy("topics", "category").agg(
+        F.count("*").alias("seeds"), F.round(F.avg("accuracy"), 9).alias("mean"), F.min("accuracy").alias("least"), F.max("accuracy").alias("most"))

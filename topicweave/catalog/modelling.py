@@ -40,19 +40,21 @@ def block_columns(state, k=K):
     return state.select("doc_id", "word", "n", *[F.col("c")[i].cast("bigint").alias(f"c{i}") for i in range(k)])
 
 
+def swept_chain(spark, folder, model=MODEL):
+    return gibbs.Chain(spark, model).start(corpus_of(spark, folder)).run(1)
+
+
 def swept(spark, folder, model=MODEL):
     """State after one sweep."""
-    return gibbs.sweep_once(start_state(spark, folder, model), model, 1)
+    return swept_chain(spark, folder, model).state()
 
 
 def gamma_after_sweep(spark, folder):
-    by_doc, _ = gibbs.count_tables(swept(spark, folder), K)
-    return topic_counts.gamma(by_doc, K, MODEL.alpha)
+    return swept_chain(spark, folder).gamma()
 
 
 def beta_after_sweep(spark, folder):
-    _, by_word = gibbs.count_tables(swept(spark, folder), K)
-    return topic_counts.beta(by_word, K, MODEL.beta)
+    return swept_chain(spark, folder).beta()
 
 
 # -- shared SQL --------------------------------------------------------------------------------------------------------
@@ -327,10 +329,8 @@ def _(spark, folder):
 
 @query("m8_zero_head_sweep", f"WITH {ONE} SELECT z AS topic, count(*)::BIGINT AS tokens FROM z_s1 GROUP BY z")
 def _(spark, folder):
-    zero = [[0.0] * K for _ in range(K)]
-    state = gibbs.sweep_once(
-        start_state(spark, folder), MODEL, 1, gibbs.ratio_boost(zero, K)
-    )
+    model = gibbs.Model(k=K, head=gibbs.Head("ratio", ((0.0,) * K,) * K))
+    state = swept(spark, folder, model)
     totals = topic_counts.topic_totals(topic_counts.counts_by(state, "word", K), K)
     return totals.select(F.posexplode_outer("nk").alias("topic", "tokens"))
 

@@ -1,39 +1,45 @@
-"""Synchronous collapsed Gibbs sweeps over tables.
+"""Synchronous collapsed Gibbs sweeps over documents that stay where they are.
 
-Every sweep draws all topics from the counts at its start, with the row's own contribution removed. One sweep is
-three aggregations and two lookups:
+Every sweep draws all topics from the counts at its start, with the row's own contribution removed. Chains keep documents packed by
+bucket (:mod:`topicweave.operators.packed`), so document counts need no shuffle. One sweep is
 
-* document counts, joined on ``(doc_id, piece)``;
-* word counts, joined on ``(word, piece)``;
-* topic totals, one row, read as a scalar subquery.
+* a sum over the rows of words: one row for each bucket and word, shuffled by word;
+* topic totals, K numbers a chain;
+* the sums sent back to the buckets, where all topics of a bucket are drawn at once.
 
-Hot documents and hot words are cut into pieces when the state is built, and the piece numbers travel with it.
+Several chains, with models of their own, advance in the same jobs: the chain is part of every key.
+
+:func:`weigh` gives the same weights row by row as column expressions, for models that need the weights themselves. There hot documents
+and hot words are cut into pieces, and the piece numbers travel with the state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicweave.functions import draws, vectors
-from topicweave.operators import skew, topic_counts
+from topicweave.functions import vectors
+from topicweave.operators import packed, skew, topic_counts
+from topicweave.operators.packed import Head
 from topicweave.session import scratch_path
 
 
 @dataclass(frozen=True)
 class Model:
-    """Settings of a sampler. ``grain`` is ``block`` (all copies of a pair at once) or ``token``."""
+    """Settings of a sampler. ``grain`` is ``block`` (all copies of a pair at once) or ``token``; a ``head`` weighs the draws."""
 
     k: int
     alpha: float = 0.1
     beta: float = 0.1
     seed: int = 7
     grain: str = "block"
+    head: Head | None = None
 
 
 def with_pieces(rows: DataFrame) -> DataFrame:
@@ -61,6 +67,7 @@ def weigh(state: DataFrame, model: Model, boost=None, doc_extra: DataFrame | Non
     ``doc_n``. ``doc_extra`` adds per-document columns for it.
     """
     k = model.k
+    state = state if "ds" in state.columns else with_pieces(state)
     by_doc, by_word = count_tables(state, k)
     totals = topic_counts.topic_totals(by_word, k).select(F.struct("nk", "terms")).scalar()
     rows = with_counts(state, by_doc, by_word, k, doc_extra).withColumn("_t", totals)
@@ -92,65 +99,6 @@ def with_counts(state: DataFrame, by_doc: DataFrame, by_word: DataFrame, k: int,
     )
 
 
-def draw(weighted: DataFrame, model: Model, sweep: int) -> DataFrame:
-    """New topics for every row, by inverse CDF of the weights.
-
-    The hash of each token is a column of its own, so it is computed once and not once per topic.
-    """
-    k = model.k
-    bounds = draws.running_totals([F.col("p")[i] for i in range(k)])
-    rows = weighted.withColumn("_b", vectors.stored(bounds)).withColumn("_below", F.slice("_b", 1, k - 1))
-
-    def target(rep: Column) -> Column:
-        u = draws.uniform(F.col("doc_id"), F.col("word"), rep, f"{model.seed}.{sweep}")
-        return u * F.element_at("_b", -1)
-
-    def topic(at: Column) -> Column:
-        return F.size(F.filter("_below", lambda bound: at >= bound))
-
-    if model.grain == "token":
-        rows = rows.withColumn("_at", target(F.col("rep")))
-        return rows.withColumn("z", topic(F.col("_at"))).drop("_b", "_below", "_at", "p", "doc_n")
-    copies = F.sequence(F.lit(1), F.col("n").cast("int"))
-    rows = rows.withColumn("_at", F.transform(copies, target)).withColumn("_z", F.transform("_at", topic))
-    single = F.array(*[(F.col("_z")[0] == i).cast("int") for i in range(k)])
-    drawn = F.when(F.col("n") == 1, single).otherwise(topic_counts.split_counts(F.col("_z"), k))
-    return rows.withColumn("c", drawn).drop("_b", "_below", "_at", "_z", "p", "doc_n")
-
-
-def draw_blocks(state: DataFrame, model: Model, sweep: int) -> DataFrame:
-    """The state after :func:`weigh` and :func:`draw`, for blocks without a boost: weights, running totals and counts of a
-    batch of rows are a few array operations. Only the K topic totals and the number of terms go through the driver."""
-    k, columns, alpha, beta = model.k, state.columns, model.alpha, model.beta
-    by_doc, by_word = count_tables(state, k)
-    totals = topic_counts.topic_totals(by_word, k).first()
-    t = np.array(totals["nk"], np.float64), float(totals["terms"])
-    reps = F.sequence(F.lit(1), F.col("n").cast("int"))
-    u = F.transform(reps, lambda rep: draws.uniform(F.col("doc_id"), F.col("word"), rep, f"{model.seed}.{sweep}"))
-    rows = with_counts(state, by_doc, by_word, k).select(*columns, "d", "w", u.alias("u"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c, d, w = (batch.column(x).flatten().to_numpy().reshape(-1, k).astype(np.float64) for x in "cdw")
-            p = (d - c + alpha) * (w - c + beta) / (t[0] - c + beta * t[1])
-            bounds = np.cumsum(p, axis=1)
-            row = np.repeat(np.arange(len(c)), batch.column("n").to_numpy())
-            at = batch.column("u").flatten().to_numpy() * bounds[row, -1]
-            z = (at[:, None] >= bounds[row, :-1]).sum(axis=1)
-            drawn = np.bincount(row * k + z, minlength=len(c) * k).astype(np.int32)
-            arrays = [batch.column(x) for x in columns]
-            arrays[columns.index("c")] = pa.ListArray.from_arrays(np.arange(0, len(drawn) + 1, k, dtype=np.int32), drawn)
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
-
-    return rows.mapInArrow(run, state.schema)
-
-
-def sweep_once(state: DataFrame, model: Model, sweep: int, boost=None, doc_extra=None) -> DataFrame:
-    if model.grain == "block" and boost is None:
-        return draw_blocks(state, model, sweep)
-    return draw(weigh(state, model, boost, doc_extra), model, sweep).select(*state.columns)
-
-
 def block_probabilities(weighted: DataFrame, k: int) -> DataFrame:
     """Normalised topic probabilities ``(doc_id, word, n, doc_n, p)`` of each block."""
     return weighted.select("doc_id", "word", "n", "doc_n", vectors.scaled(F.col("p"), k).alias("p"))
@@ -207,64 +155,162 @@ def label_boost(eta: list[list[float]], k: int):
 
 # -- chains ------------------------------------------------------------------------------------------------------------
 
-class Chain:
-    """A sampler whose state is a written table, so that a run can stop, resume and lose executors.
+#: Pairs of document and word that a bucket holds on average.
+BUCKET_PAIRS = 65_536
 
-    The state alternates between two folders; samples go to ``samples/beta`` and ``samples/gamma`` by ``iter``.
+
+def _sweep_of(models: Sequence[Model], totals: dict[int, tuple[np.ndarray, int]], sweep: int):
+    def step(docs: pa.Table, words: pa.Table) -> pa.Table:
+        return packed.swept(docs, words, models, totals, sweep)
+
+    return step
+
+
+class Chains:
+    """Samplers side by side. Their state is a written table, so that a run can stop, resume and lose executors.
+
+    State and sums of words alternate between two folders each; samples go to ``samples/beta`` and ``samples/gamma`` by ``iter``. A
+    chain is known by the place of its model; tables have a column ``chain``.
     """
 
-    def __init__(self, spark: SparkSession, model: Model, path: str | None = None, boost=None, doc_extra=None):
-        self.spark, self.model = spark, model
+    def __init__(self, spark: SparkSession, models: Sequence[Model], path: str | None = None):
+        self.spark, self.models = spark, list(models)
         self.path = path or scratch_path(spark, "chain")
-        self.boost, self.doc_extra = boost, doc_extra
-        self.sweep = 0
-        self.schema = None
-
-    def _slot(self, sweep: int) -> str:
-        return f"{self.path}/state-{sweep % 2}"
-
-    def _write(self, state: DataFrame, sweep: int) -> None:
-        self.schema = state.schema
-        state.write.mode("overwrite").parquet(self._slot(sweep))
-        note = self.spark.createDataFrame([(sweep, repr(self.model))], "sweep int, model string")
-        note.coalesce(1).write.mode("overwrite").parquet(f"{self._slot(sweep)}-note")
-        self.sweep = sweep
-
-    def start(self, counts: DataFrame) -> "Chain":
-        counts.write.mode("overwrite").parquet(f"{self.path}/counts")
-        self._write(initial_state(self.counts(), self.model), 0)
+        self.sweep, self.buckets, self._summed = 0, 0, None
+
+    def _slot(self, name: str) -> str:
+        return f"{self.path}/{name}-{self.sweep % 2}"
+
+    def _note(self) -> str:
+        return repr([(m.k, m.alpha, m.beta, m.seed, m.grain) for m in self.models])
+
+    def _write(self, rows: DataFrame, sweep: int) -> None:
+        self.sweep, self._summed = sweep, None
+        rows.withColumn("sweep", F.lit(sweep)).withColumn("models", F.lit(self._note())).write.mode("overwrite").parquet(self._slot("state"))
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(packed.SCHEMA).parquet(self._slot("state"))
+
+    def documents(self) -> DataFrame:
+        """``chain, bucket, doc_id, y, words, n, z, counts`` of the present state."""
+        return self._rows().where("doc_id is not null").drop("word")
+
+    def start(self, counts: DataFrame, labels: DataFrame | None = None, written: bool = False) -> "Chains":
+        """Hashed first topics for ``counts (chain, doc_id, word, n)``; without the column ``chain`` all chains share the counts.
+
+        ``labels (doc_id, y)`` gives classes to some or all documents. ``written`` counts are read from where they are, others are
+        stored first.
+        """
+        if "chain" not in counts.columns:
+            counts = counts.withColumn("chain", F.explode(F.sequence(F.lit(0), F.lit(len(self.models) - 1))))
+        if not written:
+            counts.write.mode("overwrite").parquet(f"{self.path}/counts")
+            counts = self.spark.read.parquet(f"{self.path}/counts")
+        self.buckets = max(1, -(-counts.count() // (BUCKET_PAIRS * len(self.models))))
+        models = self.models
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
+        pairs = counts.select(F.col("chain").cast("int").alias("chain"), bucket.alias("bucket"), "doc_id", "word", F.col("n").cast("int").alias("n"))
+        dealt = pairs.repartition(self._groups(), "chain", "bucket").groupBy("chain", "bucket")
+        rows = dealt.applyInArrow(lambda group: packed.started(group, models), packed.SCHEMA)
+        if labels is not None:
+            own = labels.select("doc_id", F.col("y").cast("int").alias("y"))
+            rows = rows.drop("y").join(own, "doc_id", "left").select(*self._columns())
+        self._write(rows, 0)
         return self
 
-    def counts(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/counts")
-
-    def resume(self, sweep: int) -> "Chain":
-        """Continue after ``sweep``, if its folder holds that sweep's state of the same model."""
-        found = self.spark.read.parquet(f"{self._slot(sweep)}-note").collect()[0]
-        if (found["sweep"], found["model"]) != (sweep, repr(self.model)):
-            raise ValueError(f"{self._slot(sweep)} holds sweep {found['sweep']} of {found['model']}")
-        self.sweep = sweep
-        self.schema = self.spark.read.parquet(self._slot(sweep)).schema
+    @staticmethod
+    def _columns() -> list[str]:
+        return [c.split()[0] for c in packed.SCHEMA.split(", ")]
+
+    def _groups(self) -> int:
+        return self.buckets * len(self.models)
+
+    def resume(self, sweep: int) -> "Chains":
+        """Continue after ``sweep``, if its folder holds that sweep's state of the same models."""
+        self.sweep, self._summed = sweep, None
+        found = self.spark.read.parquet(self._slot("state"))
+        note = found.select("sweep", "models").first()
+        if tuple(note) != (sweep, self._note()):
+            raise ValueError(f"{self._slot('state')} holds sweep {note['sweep']} of {note['models']}")
+        self.buckets = found.agg(F.max("bucket")).first()[0] + 1
         return self
 
-    def state(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self._slot(self.sweep))
-
-    def run(self, sweeps: int, keep_from: int | None = None, keep_every: int = 1) -> "Chain":
+    def word_sums(self) -> DataFrame:
+        """``chain, bucket, word, counts, first``: the corpus counts of each word, for each bucket that holds it; ``first`` marks one row
+        of each word. Computed once for a state, and written."""
+        if self._summed is None:
+            k, over = max(m.k for m in self.models), Window.partitionBy("chain", "word")
+            sums = F.array(*[F.coalesce(F.sum(F.get("counts", F.lit(i))).over(over), F.lit(0)) for i in range(k)])
+            rows = self._rows().where("word is not null").select("chain", "bucket", "word", "counts")
+            summed = rows.select("chain", "bucket", "word", sums.alias("counts"), (F.col("bucket") == F.min("bucket").over(over)).alias("first"))
+            summed.write.mode("overwrite").parquet(self._slot("words"))
+            self._summed = self.spark.read.schema(
+                "chain int, bucket int, word string, counts array<long>, first boolean").parquet(self._slot("words"))
+        return self._summed
+
+    def totals(self) -> dict[int, tuple[np.ndarray, int]]:
+        """Topic totals and the number of terms by chain; these few numbers reach the driver."""
+        k = max(m.k for m in self.models)
+        sums = [F.sum(F.col("counts")[i]).alias(f"_{i}") for i in range(k)]
+        rows = self.word_sums().where("first").groupBy("chain").agg(F.count("*").alias("terms"), *sums).collect()
+        return {r["chain"]: (np.array([r[f"_{i}"] for i in range(self.models[r["chain"]].k)], np.float64), r["terms"]) for r in rows}
+
+    def run(self, sweeps: int, keep_from: int | None = None, keep_every: int = 1) -> "Chains":
         for _ in range(sweeps):
-            nxt = self.sweep + 1
-            self._write(sweep_once(self.state(), self.model, nxt, self.boost, self.doc_extra), nxt)
-            if keep_from is not None and nxt >= keep_from and (nxt - keep_from) % keep_every == 0:
+            sweep, keys = self.sweep + 1, ["chain", "bucket"]
+            step = _sweep_of(self.models, self.totals(), sweep)
+            docs = self.documents().repartition(self._groups(), *keys).groupBy(*keys)
+            words = self.word_sums().select(*keys, "word", "counts").repartition(self._groups(), *keys).groupBy(*keys)
+            self._write(docs.cogroup(words).applyInArrow(step, packed.SCHEMA), sweep)
+            if keep_from is not None and sweep >= keep_from and (sweep - keep_from) % keep_every == 0:
                 self.store_sample()
         return self
 
+    def state(self) -> DataFrame:
+        """The state by pairs ``chain, doc_id, word, n, c`` of the block chains, or tokens ``chain, doc_id, word, rep, z``."""
+        models, block = self.models, self.models[0].grain == "block"
+        kinds = "chain int, doc_id long, word string, " + ("n long, c array<int>" if block else "rep int, z int")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    part = pa.Table.from_batches([batch.slice(at, 1000)])
+                    held, chain = packed.Bucket.of_rows(part), np.repeat(part["chain"].to_numpy(), pa.compute.list_value_length(part["words"]).to_numpy())
+                    ids = held.doc_ids[held.document]
+                    if block:
+                        k = max(models[c].k for c in set(chain.tolist())) if len(chain) else 1
+                        width = np.array([m.k for m in models])[chain]
+                        counts = held.pair_counts(k)[np.arange(k) < width[:, None]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(chain, pa.int32()), pa.array(ids), held.words, pa.array(held.n, pa.int64()),
+                             packed.lists(counts, width, pa.int32())], names=["chain", "doc_id", "word", "n", "c"])
+                    else:
+                        copy = np.arange(len(held.z)) - np.repeat(packed.spans(held.n)[:-1], held.n) + 1
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(chain[held.pair], pa.int32()), pa.array(ids[held.pair]), held.words.take(pa.array(held.pair)),
+                             pa.array(copy, pa.int32()), pa.array(held.z, pa.int32())], names=["chain", "doc_id", "word", "rep", "z"])
+
+        return self.documents().select("chain", "doc_id", "y", "words", "n", "z").mapInArrow(run, kinds)
+
+    def _of_chain(self, values: Sequence[float]) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("chain") + 1)
+
     def gamma(self) -> DataFrame:
-        by_doc, _ = count_tables(self.state(), self.model.k)
-        return topic_counts.gamma(by_doc, self.model.k, self.model.alpha)
+        """P(topic | document) as ``chain, doc_id, g``, straight from the documents' rows."""
+        prior, length = self._of_chain([m.alpha for m in self.models]), F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
+        whole = length + self._of_chain([m.k * m.alpha for m in self.models])
+        return self.documents().withColumn("_whole", whole).select(
+            "chain", "doc_id", F.transform("counts", lambda c: (c + prior) / F.col("_whole")).alias("g"))
 
     def beta(self) -> DataFrame:
-        _, by_word = count_tables(self.state(), self.model.k)
-        return topic_counts.beta(by_word, self.model.k, self.model.beta)
+        """P(term | topic) as ``chain, word, b``, from the sums that the next sweep uses too."""
+        totals = self.totals()
+        below = F.create_map(*[x for c, (t, terms) in totals.items() for x in (
+            F.lit(c), F.array(*[F.lit(float(v) + self.models[c].beta * terms) for v in t]))])
+        prior = self._of_chain([m.beta for m in self.models])
+        counts = F.slice("counts", F.lit(1), F.size(below[F.col("chain")]))
+        return self.word_sums().where("first").select(
+            "chain", "word", F.zip_with(counts, below[F.col("chain")], lambda c, t: (c + prior) / t).alias("b"))
 
     def store_sample(self) -> None:
         for name, df in (("gamma", self.gamma()), ("beta", self.beta())):
@@ -272,3 +318,23 @@ class Chain:
 
     def samples(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/samples/{name}")
+
+
+class Chain(Chains):
+    """One sampler; its tables have no column ``chain``."""
+
+    def __init__(self, spark: SparkSession, model: Model, path: str | None = None):
+        super().__init__(spark, [model], path)
+
+    @property
+    def model(self) -> Model:
+        return self.models[0]
+
+    def state(self) -> DataFrame:
+        return super().state().drop("chain")
+
+    def gamma(self) -> DataFrame:
+        return super().gamma().drop("chain")
+
+    def beta(self) -> DataFrame:
+        return super().beta().drop("chain")
