@@ -335,6 +335,57 @@ def _(spark, folder):
     return totals.select(F.posexplode_outer("nk").alias("topic", "tokens"))
 
 
+CLASSES, LEARNING = 2, 3
+
+
+def learning_sql(sweeps: int = LEARNING, ridge: float = 0.5, rate: float = 1.0) -> str:
+    """Sweeps whose draws are weighed by the label's chance, with one step of the head after each but the last: blocks ``b<s>``,
+    coefficients ``e<s>`` (class, topic)."""
+    cells = [(c, i) for c in range(CLASSES) for i in range(K)]
+    out = f"{START},\nlab AS (SELECT doc_id, quality AS y FROM labels),\ne1 AS (SELECT " + ", ".join(f"{1 / K!r}::DOUBLE AS e{c}{i}" for c, i in cells) + ")"
+    rest = [" + ".join(f"e{c}{i} * (d{i} - c{i}) / doc_n" for i in range(K)) for c in range(CLASSES)]
+    for s in range(1, sweeps + 1):
+        moved = [[f"exp({rest[c]} + e{c}{i} * p.n / doc_n)" for i in range(K)] for c in range(CLASSES)]
+        factor = [f"CASE WHEN y IS NULL THEN 1.0::DOUBLE ELSE (CASE y " + " ".join(f"WHEN {c} THEN {moved[c][i]}" for c in range(CLASSES))
+                  + " END) / (" + " + ".join(moved[c][i] for c in range(CLASSES)) + ") END" for i in range(K)]
+        plain = sweep_sql(K, f"b{s - 1}", f"s{s}", s)
+        weights = ", ".join(f"p{i} * {factor[i]} AS p{i}" for i in range(K))
+        weighed = f"""q_s{s} AS (SELECT p.doc_id, word, p.n, {weights} FROM p_s{s} p JOIN b{s - 1} USING (doc_id, word)
+  JOIN nd_s{s} USING (doc_id) LEFT JOIN lab USING (doc_id), e{s}),
+"""
+        at = plain.index(f"b_s{s} AS (")
+        plain = plain[:at] + weighed + plain[at:].replace(f"FROM p_s{s})", f"FROM q_s{s})", 1)
+        out += f",\n{plain},\n{blocks_sql(K, f'z_s{s}', f'b{s}')}"
+        score = [" + ".join(f"e{c}{i} * g{i}" for i in range(K)) for c in range(CLASSES)]
+        total = " + ".join(f"exp({x})" for x in score)
+        slopes = ", ".join(
+            f"any_value(e{c}{i}) - {rate}::DOUBLE * (avg(g{i} * (exp({score[c]}) / ({total}) - (y = {c})::INT)) + {ridge}::DOUBLE * any_value(e{c}{i})) AS e{c}{i}"
+            for c, i in cells)
+        shares = ", ".join(f"c{i}::DOUBLE / {LEN} AS g{i}" for i in range(K))
+        out += f""",
+g_s{s} AS (SELECT doc_id, {shares}, y FROM (SELECT doc_id, {D_SUMS} FROM b{s} GROUP BY doc_id) JOIN lab USING (doc_id)),
+e{s + 1} AS (SELECT {slopes} FROM g_s{s}, e{s})"""
+    return out
+
+
+def learned(spark, folder):
+    chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder), quality_labels(spark, folder))
+    return chain.learn_head(CLASSES, LEARNING)
+
+
+@query("m8_learned_head", f"WITH {learning_sql()} SELECT doc_id, {D_SUMS} FROM b{LEARNING} GROUP BY doc_id")
+def _(spark, folder):
+    return learned(spark, folder).documents().select("doc_id", *[F.col("counts")[i].alias(f"c{i}") for i in range(K)])
+
+
+@query("m8_learned_coefficients", f"WITH {learning_sql()} " + " UNION ALL ".join(
+    f"SELECT {c} AS class, {i} AS topic, round(e{c}{i}, 9) AS eta FROM e{LEARNING}" for c in range(CLASSES) for i in range(K)))
+def _(spark, folder):
+    head = learned(spark, folder).model.head
+    rows = [(c, i, value) for c, row in enumerate(head.eta) for i, value in enumerate(row)]
+    return spark.createDataFrame(rows, "class int, topic int, eta double").withColumn("eta", F.round("eta", 9))
+
+
 def chain_sql(k: int, sweeps: int, seed: int = 7, base: str = CORPUS, counts: str = "corpus") -> str:
     """CTEs of a chain over the table ``counts`` of ``base``: blocks ``b0`` to ``b<sweeps>``."""
     out = f"{base},\n{tokens_sql(k, str(seed), counts)},\n{blocks_sql(k, 'z0', 'b0')}"
@@ -343,9 +394,9 @@ def chain_sql(k: int, sweeps: int, seed: int = 7, base: str = CORPUS, counts: st
     return out
 
 
-@query("m4_gibbs_chain", f"WITH {chain_sql(5, 5, 1234)} SELECT * FROM b5")
+@query("m4_gibbs_chain", f"WITH {chain_sql(5, SWEEPS, 1234)} SELECT * FROM b{SWEEPS}")
 def _(spark, folder):
-    chain = gibbs.Chain(spark, gibbs.Model(k=5, seed=1234)).start(corpus_of(spark, folder)).run(5)
+    chain = gibbs.Chain(spark, gibbs.Model(k=5, seed=1234)).start(corpus_of(spark, folder)).run(SWEEPS)
     return block_columns(chain.state(), 5)
 
 

@@ -190,7 +190,7 @@ a{s + 1} AS (SELECT {', '.join(
     return out
 
 
-ASCENT = 4
+ASCENT = 20
 
 
 @query("m10_likelihood_head", f"WITH {ascent_sql(ASCENT)} " + " UNION ALL ".join(

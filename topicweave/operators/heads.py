@@ -1,17 +1,24 @@
 """Supervised heads on topic features.
 
 ``eta[i][j]`` weighs topic i for class j. Losses and gradients are sums over documents, so each is one aggregation;
-the squared-error head needs only the class statistics of :func:`class_statistics`.
+the squared-error head needs only the class statistics of :func:`class_statistics`. Sums of matrices are those of
+:mod:`topicweave.operators.matrix_sums`, so no plan grows with the number of topics.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions import draws, vectors
+from topicweave.operators import matrix_sums
 from topicweave.session import materialize
 
 Matrix = list[list[float]]
@@ -40,14 +47,13 @@ def fold_rows(features: DataFrame, folds: int = 5, seed: str = "fold") -> DataFr
 
 def class_statistics(features: DataFrame, k: int, *keys: str) -> DataFrame:
     """Per group: row count ``n``, sum ``s`` of the vectors and sum ``gram`` of their outer products (row by row)."""
-    g = F.col("g")
-    upper = {(i, j): F.sum(g[i] * g[j]).alias(f"_g{i}_{j}") for i in range(k) for j in range(i, k)}
-    sums = [F.sum(g[i]).alias(f"_s{i}") for i in range(k)]
-    return features.groupBy(*keys).agg(F.count("*").alias("n"), *sums, *upper.values()).select(
-        *keys, "n",
-        F.array(*[F.col(f"_s{i}") for i in range(k)]).alias("s"),
-        F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)]).alias("gram"),
-    )
+    def cells_of(rows: pa.Table) -> np.ndarray:
+        g = matrix_sums.vectors_of(rows["g"], k)
+        return np.concatenate([[len(g)], g.sum(axis=0), (g.T @ g).ravel()])
+
+    sums = matrix_sums.summed_by(features.select(*keys, "g"), keys, cells_of, 1 + k + k * k)
+    return sums.select(
+        *keys, F.col("cells")[0].cast("long").alias("n"), F.slice("cells", 2, k).alias("s"), F.slice("cells", k + 2, k * k).alias("gram"))
 
 
 def l2_loss(features: DataFrame, eta: Matrix, k: int) -> DataFrame:
@@ -64,23 +70,22 @@ def l2_gradient(statistics: DataFrame, eta: Matrix, k: int, mode: str = "exact")
     ``exact`` is the derivative of the loss. ``reference`` is the published variant, which scales the own feature
     instead of the residual.
     """
-    y, s, gram = F.col("y"), F.col("s"), F.col("gram")
-    cells = []
-    for i in range(k):
-        for j in range(k):
+    weights = np.array(eta, float)
+
+    def cells_of(batch: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros((k, k))
+        sums = matrix_sums.vectors_of(batch.column("s"), k)
+        for y, s, gram in zip(batch.column("y").to_pylist(), sums, matrix_sums.vectors_of(batch.column("gram"), k * k).reshape(-1, k, k)):
             if mode == "exact":
-                pulled = vectors.total([gram[i * k + m] * F.lit(float(eta[m][j])) for m in range(k)])
-                cell = pulled - F.when(y == j, s[i]).otherwise(F.lit(0.0))
+                out += gram @ weights
+                out[:, y] -= s
             else:
-                away = gram[j * k + j] * F.lit(float(eta[i][j]))
-                own = vectors.total([gram[j * k + m] * F.lit(float(eta[m][j])) for m in range(k)]) - s[j]
-                cell = F.when(y == j, own).otherwise(away)
-            cells.append(F.sum(cell).alias(f"_g{i}_{j}"))
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("topic"), F.lit(j).alias("class"), F.col(f"_g{i}_{j}").alias("gradient"))
-        for i in range(k) for j in range(k)
-    ])
-    return statistics.agg(*cells).select(F.explode(pairs).alias("c")).select("c.*")
+                away = np.diag(gram) * weights
+                away[:, y] = gram[y] @ weights[:, y] - s[y]
+                out += away
+        return out.ravel()
+
+    return matrix_sums.pairs_of(matrix_sums.summed(statistics.select("y", "s", "gram"), cells_of, k * k), k, k)
 
 
 def _stack(pdf: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, float]:
@@ -242,35 +247,56 @@ def minibatch(features: DataFrame, size: int, seed) -> DataFrame:
 def minibatches(features: DataFrame, size: int, steps: int, seed) -> DataFrame:
     """``size`` documents for each step, without replacement, in the order of a seeded hash: rows with their ``step``.
 
-    One pass: every partition keeps its first rows of each step, which the window's group limit does before the shuffle.
+    One pass: a task keeps the rows with the ``size`` smallest hashes of each step, a sketch that merges with those of other tasks, so
+    only ``steps * size`` rows leave it.
     """
-    numbered = features.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
-    hashed = numbered.withColumn("_h", draws.hash_uint32(F.col("doc_id"), F.concat(F.lit(f"{seed}."), F.col("step").cast("string"))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.Table | None] = [None] * steps
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            ids = table["doc_id"].to_pylist()
+            for step in range(steps):
+                drawn = [int.from_bytes(md5(f"{i}|{seed}.{step}".encode()).digest()[:4], "big") for i in ids]
+                both = table.append_column("step", pa.array(np.full(len(ids), step, np.int32))).append_column("_h", pa.array(drawn, pa.int64()))
+                both = both if kept[step] is None else pa.concat_tables([kept[step], both])
+                kept[step] = both.take(pc.select_k_unstable(both, size, [("_h", "ascending"), ("doc_id", "ascending")]))
+        for table in kept:
+            yield from table.to_batches() if table is not None else ()
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in features.schema)
+    hashed = features.mapInArrow(run, f"{kinds}, step int, _h long")
     first = Window.partitionBy("step").orderBy("_h", "doc_id")
     return hashed.withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= size).drop("_h", "_at")
 
 
 def softmax_gradient(features: DataFrame, eta: Matrix, k: int, ridge: float = 0.5) -> DataFrame:
     """``(topic, class, gradient)`` of the mean loss with the ridge term."""
-    rows = _with_scores(features, eta, k)
-    chance = [F.exp(F.col("_s")[j] - F.col("_norm")) for j in range(k)]
-    cells = [
-        F.avg(F.col("g")[i] * (chance[j] - (F.col("y") == j).cast("double"))).alias(f"_g{i}_{j}")
-        for i in range(k) for j in range(k)
-    ]
-    pairs = F.array(*[
-        F.struct(
-            F.lit(i).alias("topic"), F.lit(j).alias("class"),
-            (F.col(f"_g{i}_{j}") + F.lit(float(ridge * eta[i][j]))).alias("gradient"),
-        )
-        for i in range(k) for j in range(k)
-    ])
-    return rows.agg(*cells).select(F.explode(pairs).alias("c")).select("c.*")
+    weights = np.array(eta, float)
+    classes = weights.shape[1]
+    sums = matrix_sums.summed(features.select("y", "g"), softmax_cells(weights), k * classes + 1)
+    docs = sums.where(F.col("cell") == k * classes).select("value").scalar()
+    ridges = F.element_at(F.lit((ridge * weights).ravel().tolist()), F.col("topic") * classes + F.col("class") + 1)
+    pairs = matrix_sums.pairs_of(sums, k, classes, "total")
+    return pairs.select("topic", "class", (F.col("total") / docs + ridges).alias("gradient"))
+
+
+def softmax_cells(eta: np.ndarray):
+    """The sum of ``g (P - Y)`` by (topic, class) over rows ``y, g``, and behind it their number."""
+    k, classes = eta.shape
+
+    def of(batch: pa.RecordBatch) -> np.ndarray:
+        g, y = matrix_sums.vectors_of(batch.column("g"), k), batch.column("y").to_numpy()
+        scores = g @ eta
+        chance = np.exp(scores - np.logaddexp.reduce(scores, axis=1)[:, None]) if len(g) else scores
+        chance[np.arange(len(g)), y] -= 1.0
+        return np.concatenate([(g.T @ chance).ravel(), [len(g)]])
 
+    return of
 
-def as_matrix(gradient: DataFrame, k: int) -> Matrix:
-    """K x K numbers to the driver."""
-    out = [[0.0] * k for _ in range(k)]
+
+def as_matrix(gradient: DataFrame, k: int, classes: int | None = None) -> Matrix:
+    """A number for each topic and class to the driver."""
+    out = [[0.0] * (classes or k) for _ in range(k)]
     for row in gradient.collect():
         out[row["topic"]][row["class"]] = float(row["gradient"])
     return out
@@ -302,77 +328,27 @@ def fit_softmax(features: DataFrame, ridge: float = 0.5, iterations: int = 50):
 
 # -- supervised topic likelihood ---------------------------------------------------------------------------------------
 
-def labelled_blocks(blocks: DataFrame, labels: DataFrame) -> DataFrame:
-    """The blocks of labelled documents; only these count in the likelihood."""
-    return blocks.join(labels.select("doc_id"), "doc_id", "left_semi")
-
-
-def _document_terms(blocks: DataFrame, eta: Matrix, k: int, slopes: bool) -> DataFrame:
-    """Per document: log factors ``L`` by class, mean probabilities ``g`` and, if asked, the slopes by (topic, class)."""
-    p, n, doc_n = F.col("p"), F.col("n"), F.col("doc_n")
-    raised = [[F.exp(F.lit(float(eta[i][c])) / doc_n) for c in range(k)] for i in range(k)]
-    inner = [vectors.total([p[i] * raised[i][c] for i in range(k)]) for c in range(k)]
-    rows = blocks.withColumn("_in", vectors.stored(inner))
-    inside = F.col("_in")
-    sums = [F.sum(n * F.log(inside[c])).alias(f"_l{c}") for c in range(k)]
-    sums += [F.sum(n * p[i] / doc_n).alias(f"_p{i}") for i in range(k)]
-    if slopes:
-        sums += [
-            F.sum(n * p[i] * raised[i][c] / doc_n / inside[c]).alias(f"_d{i}_{c}")
-            for i in range(k) for c in range(k)
-        ]
-    return rows.groupBy("doc_id").agg(*sums)
-
-
 def slda_loglik(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> DataFrame:
-    """Variational log-likelihood of the labels, by log-sum-exp over the classes."""
-    docs = _document_terms(labelled_blocks(blocks, labels), eta, k, slopes=False).join(labels.select("doc_id", "y"), "doc_id")
-    own = F.element_at(
-        F.array(*[vectors.total([F.col(f"_p{i}") * F.lit(float(eta[i][c])) for i in range(k)]) for c in range(k)]),
-        F.col("y") + 1,
-    )
-    kappa = vectors.log_sum_exp([F.col(f"_l{c}") for c in range(k)])
-    return docs.agg(F.sum(own - kappa).alias("loglik"), F.count("*").alias("docs"))
+    """``loglik, docs``: variational log-likelihood of the labels, by log-sum-exp over the classes; documents without a label don't
+    count."""
+    cells = matrix_sums.likelihood_cells(np.array(eta, float)[None], slopes=False)
+    last = 1 + k * len(eta[0])
+    sums = matrix_sums.summed(matrix_sums.packed_blocks(blocks, labels), cells, last + 1)
+    return sums.agg(
+        F.max(F.when(F.col("cell") == 0, F.col("value"))).alias("loglik"), F.max(F.when(F.col("cell") == last, F.col("value"))).cast("long").alias("docs"))
 
 
 def slda_gradient(blocks: DataFrame, labels: DataFrame, eta: Matrix, k: int) -> DataFrame:
     """``(topic, class, gradient)`` of :func:`slda_loglik`."""
-    docs = _document_terms(labelled_blocks(blocks, labels), eta, k, slopes=True).join(labels.select("doc_id", "y"), "doc_id")
-    logs = [F.col(f"_l{c}") for c in range(k)]
-    docs = docs.withColumn("_norm", vectors.log_sum_exp(logs))
-    chance = [F.exp(log - F.col("_norm")) for log in logs]
-    cells = [
-        F.sum(
-            F.when(F.col("y") == c, F.col(f"_p{i}")).otherwise(F.lit(0.0)) - chance[c] * F.col(f"_d{i}_{c}")
-        ).alias(f"_g{i}_{c}")
-        for i in range(k) for c in range(k)
-    ]
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("topic"), F.lit(c).alias("class"), F.col(f"_g{i}_{c}").alias("gradient"))
-        for i in range(k) for c in range(k)
-    ])
-    return docs.agg(*cells).select(F.explode(pairs).alias("c")).select("c.*")
-
-
-def fit_slda(blocks: DataFrame, labels: DataFrame, k: int, steps: int = 20, rate: float = 1.0, start: Matrix | None = None):
-    """Gradient ascent on the likelihood per document; a step that lowers it is halved and tried again.
-
-    Only K x K numbers and one likelihood reach the driver per step. Returns ``(eta, [loglik, ...])``.
-    """
-    eta = start or [[0.0] * k for _ in range(k)]
-    blocks = materialize(labelled_blocks(blocks, labels), "labelled-blocks")
-    now = slda_loglik(blocks, labels, eta, k).first()
-    docs, history = now["docs"], [now["loglik"]]
-    for _ in range(steps):
-        grad = as_matrix(slda_gradient(blocks, labels, eta, k), k)
-        while rate > 1e-9:
-            tried = [[e + rate * g / docs for e, g in zip(er, gr)] for er, gr in zip(eta, grad)]
-            value = slda_loglik(blocks, labels, tried, k).first()["loglik"]
-            if value >= history[-1]:
-                eta = tried
-                history.append(value)
-                break
-            rate /= 2
-        else:
-            break
-    return eta, history
+    classes = len(eta[0])
+    sums = matrix_sums.summed(
+        matrix_sums.packed_blocks(blocks, labels), matrix_sums.likelihood_cells(np.array(eta, float)[None]), 2 + k * classes)
+    return matrix_sums.pairs_of(sums.withColumn("cell", F.col("cell") - 1).where("cell >= 0"), k, classes)
+
+
+def fit_slda(blocks: DataFrame, labels: DataFrame, k: int, classes: int | None = None, steps: int = 20, rate: float = 1.0, start: Matrix | None = None):
+    """Gradient ascent on the likelihood per document, see :func:`matrix_sums.ascend`. The packed documents are written once; each step
+    reads them once, and only a few K x K matrices reach the driver. Returns ``(eta, [loglik, ...])``."""
+    packed = materialize(matrix_sums.packed_blocks(blocks, labels), "packed-blocks")
+    eta, history = matrix_sums.ascend(packed, k, classes or k, steps, rate, start=start)
+    return eta.tolist(), history

@@ -16,7 +16,7 @@ and hot words are cut into pieces, and the piece numbers travel with the state.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicweave.functions import vectors
-from topicweave.operators import packed, skew, topic_counts
+from topicweave.operators import heads, packed, skew, topic_counts
 from topicweave.operators.packed import Head
 from topicweave.session import scratch_path
 
@@ -338,3 +338,24 @@ class Chain(Chains):
 
     def beta(self) -> DataFrame:
         return super().beta().drop("chain")
+
+    def features(self) -> DataFrame:
+        """``doc_id, y, g`` of the documents that have a class: their shares of topics, from counts that the sweep put out."""
+        share = F.transform("counts", lambda c: c / F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b))
+        return self.documents().where("y is not null").select("doc_id", "y", share.alias("g"))
+
+    def learn_head(
+        self, classes: int, sweeps: int, kind: str = "label", ridge: float = 0.5, rate: float = 1.0, keep_from: int | None = None,
+    ) -> "Chain":
+        """Sweeps with a head that learns between them: after each sweep but the last, one step down the softmax loss of the documents
+        that have a class, on their present topics. Documents without a class are drawn without the head.
+
+        All coefficients begin equal, so the head takes no part in the first sweep. ``models[0].head`` holds them afterwards.
+        """
+        k, eta = self.model.k, np.full((self.model.k, classes), 1.0 / self.model.k)
+        for sweep in range(sweeps):
+            self.models = [replace(self.model, head=Head(kind, tuple(map(tuple, eta.T.tolist()))))]
+            self.run(1, keep_from)
+            if sweep < sweeps - 1:
+                eta = eta - rate * np.array(heads.as_matrix(heads.softmax_gradient(self.features(), eta.tolist(), k, ridge), k, classes))
+        return self
