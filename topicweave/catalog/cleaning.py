@@ -30,6 +30,25 @@ def corpus_of(spark, folder):
     return clean.filtered_counts(documents(spark, folder))
 
 
+FLOW_RECODES = {"fr": "romance", "es": "romance"}
+
+
+def _stripped(column: str) -> str:
+    return f"replace(replace({column}, {quoted("'s" + ' ')}, ' '), {quoted("'s")}, '')"
+
+
+@query("e1_article_flow", f"""WITH {ARTICLES},
+usable AS (SELECT doc_id, CASE category WHEN 'fr' THEN 'romance' WHEN 'es' THEN 'romance' ELSE category END AS category,
+  {_stripped('headline')} || chr(10) || {_stripped('description')} AS text
+  FROM articles WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)),
+{CORPUS.replace('FROM documents', 'FROM usable')}
+SELECT doc_id, category, word, sum(n)::BIGINT AS n FROM (SELECT doc_id, category, {plural_case('word')} AS word, n FROM corpus JOIN usable USING (doc_id))
+GROUP BY doc_id, category, word""")
+def _(spark, folder):
+    unusable = table(spark, folder, "labels").where("quality = 0").select("doc_id")
+    return clean.article_counts(articles(spark, folder), FLOW_RECODES, unusable)
+
+
 # -- sources and sinks -------------------------------------------------------------------------------------------------
 
 @query("s1_ndjson_scan", f"WITH {ARTICLES} SELECT doc_id, headline, description, category FROM articles")
@@ -461,7 +480,7 @@ def _(spark, folder):
 
 def _html_sql() -> str:
     out = "html"
-    for pattern in (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]+>"):
+    for pattern in lexicon.HTML_HIDDEN:
         out = f"regexp_replace({out}, {quoted(pattern)}, ' ', 'g')"
     for entity, char in lexicon.HTML_ENTITIES:
         out = f"replace({out}, {quoted(entity)}, {quoted(char)})"
@@ -476,6 +495,12 @@ def _(spark, folder):
     return cleaning.token_rows(rows, keys=("page_id",)).groupBy("page_id", "word").agg(F.count("*").alias("n"))
 
 
+@query("t8_page_text", f"SELECT page_id, md5({_html_sql()}) AS text_md5, length({_html_sql()})::BIGINT AS chars FROM pages")
+def _(spark, folder):
+    rows = table(spark, folder, "pages").select("page_id", text.html_text(F.col("html")).alias("text"))
+    return rows.select("page_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("chars"))
+
+
 @query("t9_concat_split_keys", f"""WITH {CORPUS}
 SELECT doc_id || ' ' || word AS pair, doc_id::VARCHAR AS left_part, word AS right_part FROM corpus""")
 def _(spark, folder):

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicweave.catalog.base import (
-    CORPUS, blocks_sql, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
+    CORPUS, ORACLES, blocks_sql, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
 )
 from topicweave.catalog.cleaning import corpus_of, documents
 from topicweave.functions import draws, vectors
-from topicweave.operators import corpus, diagnostics, ranking, topic_counts
+from topicweave.operators import corpus, diagnostics, moments, ranking, topic_counts
 from topicweave.plans import gibbs, variational
 from topicweave.session import materialize, scratch_path
 from topicweave.sources import samples as store
@@ -551,6 +551,30 @@ def _(spark, folder):
     return rows.withColumn("acf", F.round("acf", 6))
 
 
+WINDOW = 5
+
+
+def running_moments(spark, folder):
+    """Moments of all retained samples, merged by windows; only the samples of a window are there at a time."""
+    chain = gibbs.Chain(spark, MODEL).start(corpus_of(spark, folder)).run(KEPT_FROM - 1)
+    held = moments.Moments(spark, "word", "b", LAGS)
+    while chain.sweep < SWEEPS:
+        chain.run(WINDOW, keep_from=chain.sweep + 1)
+        held.add(chain.samples("beta").where(F.col("iter") > chain.sweep - WINDOW))
+    return held
+
+
+@query("a12_running", f"""WITH {BETA_SAMPLES}
+SELECT word, topic, round(avg(value), 9) AS mean, count(*)::BIGINT AS sweeps FROM bs WHERE iter >= {KEPT_FROM} GROUP BY word, topic""")
+def _(spark, folder):
+    return running_moments(spark, folder).mean().withColumn("mean", F.round("mean", 9))
+
+
+@query("w4_running", ORACLES["w4_autocorrelation"])
+def _(spark, folder):
+    return running_moments(spark, folder).autocorrelation().withColumn("acf", F.round("acf", 6))
+
+
 @query("a28_exact_quantiles", f"""WITH {GAMMA_SAMPLES},
 p AS (SELECT unnest([0.03, 0.5, 0.97]::DOUBLE[]) AS prob)
 SELECT topic, 0.03::DOUBLE AS prob, round(quantile_cont(value, 0.03), 9) AS quantile FROM gs GROUP BY topic

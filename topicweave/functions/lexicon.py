@@ -64,10 +64,32 @@ HTML_ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
-    ("&#39;", "'"),
+    ("&apos;", "'"),
+    ("&copy;", "\u00a9"),
+    ("&reg;", "\u00ae"),
+    ("&middot;", "\u00b7"),
+    ("&laquo;", "\u00ab"),
+    ("&raquo;", "\u00bb"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&lsquo;", "\u2018"),
+    ("&rsquo;", "\u2019"),
+    ("&ldquo;", "\u201c"),
+    ("&rdquo;", "\u201d"),
+    ("&hellip;", "\u2026"),
+    ("&euro;", "\u20ac"),
     ("&amp;", "&"),
 )
 
+# What no page shows, in the order of removal: scripts, styles, comments, tags with quoted attributes, other tags.
+HTML_HIDDEN = (
+    r"(?is)<script[^>]*>.*?</script>",
+    r"(?is)<style[^>]*>.*?</style>",
+    r"(?s)<!--.*?-->",
+    r"""<[A-Za-z/!?](?:[^<>"']|"[^"]*"|'[^']*')*>""",
+    r"<[^>]+>",
+)
+
 # Token patterns, accepted by Java and RE2 alike.
 WORD_PATTERN = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
 WORD_CHAR_PATTERN = r"[\p{L}\p{N}_]+"

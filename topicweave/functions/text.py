@@ -54,15 +54,32 @@ def _runs(parts: Column, size: int, sep: str) -> Column:
 
 
 def html_text(html: Column) -> Column:
-    """Visible text of a page: scripts, styles, comments and tags removed, basic entities decoded."""
+    """Visible text of a page: scripts, styles, comments and tags removed, common named and all numeric entities decoded once."""
     out = html
-    for pattern in (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]+>"):
-        out = F.regexp_replace(out, pattern, " ")
+    for pattern in lexicon.HTML_HIDDEN:
+        # possessive, so that long tags need no deep stack
+        out = F.regexp_replace(out, pattern.replace("]|\"[", "]++|\"[").replace("')*>", "')*+>"), " ")
+    out = numeric_entities(out)
     for entity, char in lexicon.HTML_ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
     return out
 
 
+def numeric_entities(text: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;`` as characters; numbers that name none stay as they are. One pass over the parts behind each ``&#``."""
+    def decoded(part: Column) -> Column:
+        number = F.regexp_extract(part, r"^([xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});", 1)
+        whole = F.when(F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number)
+        code = whole.try_cast("int")
+        named = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(named, F.concat(char, F.substr(part, F.length(number) + 2))).otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.split(text, "&#")
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+    return F.when(F.contains(text, F.lit("&#")), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+
+
 def strip_possessives(text: Column) -> Column:
     """``'s`` before a blank becomes a blank, then every other ``'s`` goes."""
     return F.regexp_replace(F.regexp_replace(text, "'s ", " "), "'s", "")

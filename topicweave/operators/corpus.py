@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicweave.functions import text
 from topicweave.operators import skew
+from topicweave.session import materialize
 
 BUCKET_DIGITS = 3
 
@@ -137,9 +138,11 @@ def _numbered(keys: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def class_ids(labels: DataFrame, column: str = "category", name: str = "y") -> DataFrame:
-    """Label values numbered in sorted order. The first two characters are the buckets, so any number of values works."""
-    values = labels.select(column).distinct().withColumn("_bucket", F.substring(F.col(column).cast("string"), 1, 2))
-    return _numbered(values, [column], name).select(column, F.col(name).cast("int").alias(name))
+    """Label values numbered in sorted order. Sampled splitters deal them into ranges of about equal size, which are numbered one by
+    one; what they share at their beginnings doesn't matter."""
+    values = labels.select(column).distinct().repartitionByRange(column).withColumn("_bucket", F.spark_partition_id())
+    ranges = materialize(values, "class-ranges")  # the ranges must not be drawn again between their counting and their use
+    return _numbered(ranges, [column], name).select(column, F.col(name).cast("int").alias(name))
 
 
 def with_class_ids(labels: DataFrame, column: str = "category", name: str = "y") -> DataFrame:

@@ -90,10 +90,12 @@ class Bucket:
 
     def hashes(self, tag: str) -> np.ndarray:
         """32 bits for each copy: the beginning of the MD5 of ``document|word|copy|tag``."""
-        ids, out = self.doc_ids[self.document].tolist(), []
-        for doc_id, word, n in zip(ids, self.words.to_pylist(), self.n.tolist()):
-            out += [md5(f"{doc_id}|{word}|{rep}|{tag}".encode()).digest()[:4] for rep in range(1, n + 1)]
-        return np.frombuffer(b"".join(out), ">u4").astype(np.int64)
+        words, n, ends = self.words.cast(pa.binary()).to_pylist(), self.n.tolist(), spans(self.sizes).tolist()
+        tails, out = [f"|{rep}|{tag}".encode() for rep in range(1, max(n, default=0) + 1)], []
+        for doc_id, start, end in zip(self.doc_ids.tolist(), ends, ends[1:]):
+            head = b"%d|" % doc_id
+            out += [md5(head + word + tail).digest() for word, copies in zip(words[start:end], n[start:end]) for tail in tails[:copies]]
+        return np.frombuffer(b"".join(out), ">u4")[::4].astype(np.int64)
 
     def uniforms(self, tag: str) -> np.ndarray:
         return (self.hashes(tag) + 0.5) / 4294967296.0

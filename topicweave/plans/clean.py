@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicweave.functions import lexicon, text
-from topicweave.operators import cleaning, corpus
+from topicweave.operators import cleaning, corpus, skew
 
 
 def document_tokens(docs: DataFrame, min_terms: int | None = None, column: str = "text") -> DataFrame:
@@ -42,10 +42,15 @@ def article_counts(
     rare: int = 1,
     merge_plurals: bool = True,
 ) -> DataFrame:
-    """All cleaning steps for ``(doc_id, headline, description, category)`` rows."""
-    rows = cleaning.drop_rows(articles, bad_ids) if bad_ids else articles
-    rows = cleaning.recode_category(rows, lexicon.CATEGORY_RECODES if recodes is None else recodes)
-    rows = cleaning.clean_fields(rows)
+    """The whole way from articles ``(doc_id, headline, description, category)`` to ``(doc_id, category, word, n)``.
+
+    Unusable rows go (``bad_ids``: numbers or a table), categories are recoded, possessives stripped, both fields tokenised and counted
+    without stop words; then long documents are kept, terms of several documents among them, and plural forms merged into their
+    singular. These two rules are not repeated, so a document may end with fewer terms than the first one asks for.
+    """
+    rows = cleaning.drop_rows(articles, bad_ids) if isinstance(bad_ids, DataFrame) or bad_ids else articles
+    rows = cleaning.clean_fields(cleaning.recode_category(rows, lexicon.CATEGORY_RECODES if recodes is None else recodes))
     joined = rows.select("doc_id", F.concat_ws("\n", "headline", "description").alias("text"))
     counts = filtered_counts(joined, min_terms, rare)
-    return corpus.normalized_counts(counts) if merge_plurals else counts
+    counts = corpus.normalized_counts(counts) if merge_plurals else counts
+    return skew.lookup(counts, rows.select("doc_id", "category"), "doc_id", spread="word").select("doc_id", "category", "word", "n")
