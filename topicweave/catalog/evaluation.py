@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicweave.catalog.base import ARTICLES, CORPUS, in_list, long_sql, query
+from topicweave.catalog.base import ARTICLES, CORPUS, hash32, in_list, long_sql, query, quoted, sweep_sql, uniform
 from topicweave.catalog.modelling import ETA, GAMMA, K, LABELS, chain_sql, class_labels, gamma_after_sweep, gamma_sql
 from topicweave.functions import vectors
 from topicweave.operators import diagnostics, evaluate, ranking
@@ -265,3 +265,52 @@ def _(spark, folder):
     rows = study.run_study(spark, folder, SETS, STUDY_SWEEPS, STUDY_FROM, SEEDS)
     return rows.groupBy("topics", "category").agg(
         F.count("*").alias("seeds"), F.round(F.avg("accuracy"), 9).alias("mean"), F.min("accuracy").alias("least"), F.max("accuracy").alias("most"))
+
+
+L2_SETS, RESTARTS, FOLDS, STEPS = SETS[1:], 100, 5, 200
+
+
+def l2_study_sql(one: study.CategorySet) -> str:
+    """One category set: chain, mean block probabilities, cheapest mapping, cross-validated restarts, the best one on the test rows."""
+    column, categories, k = one.column, one.categories, len(one.categories)
+    kept, cells = f"{column} IN {in_list(categories)}", [(i, j) for i in range(k) for j in range(k)]
+    base = f"{CORPUS},\nsub AS (SELECT corpus.* FROM corpus JOIN documents USING (doc_id) WHERE {kept})"
+    whole = " + ".join(f"p{i}" for i in range(k))
+    last, gram = f"s{STUDY_SWEEPS + 1}", [(i, j) for i in range(k) for j in range(i, k)]
+    scores = [" + ".join(f"g{i} * e{i * k + j}" for i in range(k)) for j in range(k)]
+    top = f"greatest({', '.join(scores)})"
+    pred = "CASE " + " ".join(f"WHEN {x} = {top} THEN {j}" for j, x in enumerate(scores)) + " END"
+    pulled = {(i, j): " + ".join(f"a{min(i, m)}_{max(i, m)} * e{m * k + j}" for m in range(k)) for i, j in cells}
+    es = ", ".join(f"e{c}" for c in range(k * k))
+    return f"""SELECT * FROM (WITH RECURSIVE {chain_sql(k, STUDY_SWEEPS, 7, base, 'sub')},
+{sweep_sql(k, f'b{STUDY_SWEEPS}', last, STUDY_SWEEPS + 1)},
+g AS (SELECT doc_id, {', '.join(f'sum(n * p{i} / ({whole})) / sum(n) AS g{i}' for i in range(k))} FROM p_{last} GROUP BY doc_id),
+lab AS (SELECT doc_id, {column} AS category, (dense_rank() OVER (ORDER BY {column}) - 1)::INT AS y FROM documents WHERE {kept}),
+f0 AS (SELECT g.*, category, y FROM g JOIN lab USING (doc_id)),
+lg AS ({long_sql(k, 'f0', 'doc_id', lambda i: f'g{i}', 'value', ', category, y')}),
+cost AS (SELECT y, topic, count(*) - sum(value) AS cost FROM lg GROUP BY y, topic),
+{permutations_sql(k)},
+o AS (SELECT {', '.join(f"max(topic) FILTER (y = {i}) AS o{i}" for i in range(k))} FROM m),
+f AS (SELECT doc_id, category, y, {', '.join(f"[{', '.join(f'g{t}' for t in range(k))}][o{i} + 1] AS g{i}" for i in range(k))} FROM f0, o),
+sp AS (SELECT *, ({hash32('doc_id', quoted('fold'))} % {FOLDS})::INT AS fold, {uniform('doc_id', quoted('split'))} < 0.2::DOUBLE AS is_test FROM f),
+st AS (SELECT k.fold, count(*)::DOUBLE AS n, {', '.join(f'sum(g{i} * g{j}) AS a{i}_{j}' for i, j in gram)},
+  {', '.join(f'coalesce(sum(g{i}) FILTER (y = {j}), 0) AS s{i}_{j}' for i, j in cells)}
+  FROM (SELECT unnest(range(0, {FOLDS})) AS fold) k, sp WHERE sp.fold <> k.fold AND NOT is_test GROUP BY k.fold),
+starts AS (SELECT r.run, {', '.join(f"(({uniform('r.run', quoted(str(c)), quoted('80'))}) * 2 - 1) AS e{c}" for c in range(k * k))}
+  FROM (SELECT unnest(range(0, {RESTARTS})) AS run) r),
+tr AS (SELECT run, fold, 0 AS step, {es} FROM starts, st
+  UNION ALL SELECT run, fold, step + 1, {', '.join(f'e{i * k + j} - (({pulled[i, j]}) - s{i}_{j}) / n' for i, j in cells)}
+  FROM tr JOIN st USING (fold) WHERE step < {STEPS}),
+fin AS (SELECT * FROM tr WHERE step = {STEPS}),
+va AS (SELECT run, fold, avg(({pred} = y)::INT) AS acc FROM sp JOIN fin USING (fold) WHERE NOT is_test GROUP BY run, fold),
+cv AS (SELECT run, round(avg(acc), 8) AS cv_score FROM va GROUP BY run),
+av AS (SELECT run, {', '.join(f'avg(e{c}) AS e{c}' for c in range(k * k))} FROM fin GROUP BY run),
+best AS (SELECT * FROM cv JOIN av USING (run) ORDER BY cv_score DESC, run LIMIT 1),
+te AS (SELECT best.run, cv_score, y, category, ({pred} = y)::INT AS hit FROM sp, best WHERE is_test)
+SELECT {k} AS topics, any_value(run)::INT AS run, any_value(cv_score) AS cv_score, round(any_value(acc), 8) AS test_accuracy, y, category,
+  count(*)::BIGINT AS docs, sum(hit)::BIGINT AS hits FROM te, (SELECT avg(hit) AS acc FROM te) GROUP BY y, category)"""
+
+
+@query("m15_l2_study", " UNION ALL ".join(map(l2_study_sql, L2_SETS)))
+def _(spark, folder):
+    return study.l2_study(spark, folder, L2_SETS, STUDY_SWEEPS, restarts=RESTARTS, folds=FOLDS, steps=STEPS)

@@ -15,7 +15,7 @@ from topicweave.sources.tables import table
 K = 2
 MODEL = gibbs.Model(k=K)
 ETA = [[0.7, -0.3], [0.2, 0.5]]
-RESTARTS, FOLDS, STEPS = 100, 5, 25
+RESTARTS, FOLDS, STEPS = 100, 5, 200
 
 
 def blocks(spark, folder):

@@ -171,21 +171,24 @@ def score_models(features: DataFrame, models: DataFrame, k: int, runs: int) -> D
     """Accuracy per run on the features' fold: ``(run, fold, hits, docs)``.
 
     ``models`` holds ``(run, fold, eta)`` with runs 0, 1, ..., ``runs`` - 1: restarts x folds rows, set by parameters and not by
-    the data. They are read as one scalar; each row is scored by its fold's models and hits are summed run by run.
+    the data, so they go to the tasks as arrays. Each row is scored by its fold's models at once, and hits are summed run by run.
     """
-    by_fold = models.groupBy("fold").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("run", "eta"))), lambda m: m["eta"]).alias("etas"))
-    table = by_fold.agg(F.map_from_entries(F.collect_list(F.struct("fold", "etas")))).scalar()
-    g = F.col("g")
+    etas: dict[int, np.ndarray] = {}
+    for row in models.collect():
+        etas.setdefault(row["fold"], np.zeros((runs, k, k)))[row["run"]] = np.reshape(row["eta"], (k, k))
 
-    def hit(eta: Column) -> Column:
-        scores = F.array(*[vectors.total([g[i] * eta[i * k + j] for i in range(k)]) for j in range(k)])
-        return (vectors.first_argmax(scores) == F.col("y")).cast("bigint")
-
-    hits = features.withColumn("_m", table).withColumn("_h", F.transform(F.element_at("_m", F.col("fold")), hit))
-    sums = hits.groupBy("fold").agg(F.count("*").alias("docs"), *[F.sum(F.col("_h")[r]).alias(f"_h{r}") for r in range(runs)])
-    return sums.select("fold", "docs", F.posexplode_outer(F.array(*[f"_h{r}" for r in range(runs)])).alias("run", "hits")).select(
-        "run", "fold", "hits", "docs")
+    def cells_of(rows: pa.Table) -> np.ndarray:
+        hits, fold = np.zeros(runs), etas[rows["fold"][0].as_py()]
+        for at in range(0, len(rows), 256):
+            part = rows.slice(at, 256)
+            scores = np.einsum("ni,rij->nrj", matrix_sums.vectors_of(part["g"], k), fold)
+            hits += (scores.argmax(axis=2) == part["y"].to_numpy()[:, None]).sum(axis=0)
+        return np.append(hits, len(rows))
+
+    sums = matrix_sums.summed_by(features.select("fold", "y", "g"), ("fold",), cells_of, runs + 1)
+    return sums.select(
+        "fold", F.col("cells")[runs].cast("long").alias("docs"), F.posexplode(F.slice("cells", 1, runs)).alias("run", "hits")
+    ).select("run", "fold", F.col("hits").cast("long").alias("hits"), "docs")
 
 
 def mean_over_folds(models: DataFrame, k: int) -> DataFrame:
@@ -208,7 +211,7 @@ def cross_validate(
     train = rows.where(~F.col("is_test"))
     statistics = training_statistics(class_statistics(train, k, "fold", "y"), folds)
     fitted = descend_l2(restart_grid(spark, restarts, folds, k, seed), statistics, k, steps, rate)
-    models = fitted.where(F.col("step") == steps).select("run", "fold", "eta")
+    models = materialize(fitted.where(F.col("step") == steps).select("run", "fold", "eta"), "models")
     by_fold = score_models(train, models, k, restarts)
     cv = by_fold.groupBy("run").agg(F.avg(F.col("hits") / F.col("docs")).alias("cv_score"))
     averaged = mean_over_folds(models, k)

@@ -7,6 +7,7 @@ task's memory, and all its draws are array operations.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import md5
 
@@ -111,38 +112,44 @@ class Bucket:
     def pair_counts(self, k: int) -> np.ndarray:
         return np.bincount(self.pair * k + self.z, minlength=len(self.n) * k).reshape(-1, k)
 
-    def draw(self, w: np.ndarray, totals: np.ndarray, terms: int, model, sweep: int) -> np.ndarray:
-        """New topics of all copies by inverse CDF of the weights from the counts before the sweep, the drawn block or token left out.
+    def weights(self, w: np.ndarray, totals: np.ndarray, terms: int, model) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
+        """Topic weights of blocks or tokens, some at a time, from the counts with the block or token itself left out.
 
-        ``w`` are the counts of each pair's word.
+        ``w`` are the counts of each pair's word. Yields the rows, their copies, the row of each copy, and the weights.
         """
-        k, u = model.k, self.uniforms(f"{model.seed}.{sweep}")
-        d = self.document_counts(k)
-        y = pc.fill_null(self.y, -1).to_numpy()
-        block = model.grain == "block"
-        begins = spans(self.n)
+        k, d, y = model.k, self.document_counts(model.k), pc.fill_null(self.y, -1).to_numpy()
+        block, begins = model.grain == "block", spans(self.n)
         rows = len(self.n) if block else len(self.z)
         step = max(1, CELLS // (k * (len(model.head.eta) if model.head else 1)))
-        out = []
         for at in range(0, rows, step):
             stop = min(rows, at + step)
             if block:
-                pairs = np.arange(at, stop)
-                first, last = begins[at], begins[stop]
-                row = self.pair[first:last] - at
-                own = np.bincount(row * k + self.z[first:last], minlength=(stop - at) * k).reshape(-1, k)
+                pairs, copies = np.arange(at, stop), slice(begins[at], begins[stop])
+                row = self.pair[copies] - at
+                own = np.bincount(row * k + self.z[copies], minlength=(stop - at) * k).reshape(-1, k)
             else:
-                pairs, first, last = self.pair[at:stop], at, stop
+                pairs, copies = self.pair[at:stop], slice(at, stop)
                 row = np.arange(stop - at)
-                own = (self.z[at:stop, None] == np.arange(k)).astype(np.int64)
+                own = (self.z[copies, None] == np.arange(k)).astype(np.int64)
             of = self.document[pairs]
             p = (d[of] - own + model.alpha) * (w[pairs] - own + model.beta) / (totals - own + model.beta * terms)
-            if model.head:
-                p = p * model.head.factors(own, d[of], y[of])
+            yield slice(at, stop), copies, row, p * model.head.factors(own, d[of], y[of]) if model.head else p
+
+    def draw(self, w: np.ndarray, totals: np.ndarray, terms: int, model, sweep: int) -> np.ndarray:
+        """New topics of all copies by inverse CDF of the weights before the sweep."""
+        u, z = self.uniforms(f"{model.seed}.{sweep}"), np.zeros(len(self.z), np.int64)
+        for _, copies, row, p in self.weights(w, totals, terms, model):
             bounds = np.cumsum(p, axis=1)
-            target = u[first:last] * bounds[row, -1]
-            out.append((target[:, None] >= bounds[row, :-1]).sum(axis=1))
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
+            target = u[copies] * bounds[row, -1]
+            z[copies] = (target[:, None] >= bounds[row, :-1]).sum(axis=1)
+        return z
+
+    def mean_weights(self, w: np.ndarray, totals: np.ndarray, terms: int, model) -> np.ndarray:
+        """For each document the mean of its blocks' normalised weights, by their copies."""
+        sums = np.zeros((len(self.doc_ids), model.k))
+        for rows, _, _, p in self.weights(w, totals, terms, model):
+            np.add.at(sums, self.document[rows], p / p.sum(axis=1, keepdims=True) * self.n[rows, None])
+        return sums / np.bincount(self.document, self.n, len(self.doc_ids))[:, None]
 
     def rows(self, chain: int, bucket: int, k: int, vocabulary: pa.Array, number: np.ndarray) -> pa.Table:
         """Rows of the documents and of the words, which ``number`` gives to the pairs."""
@@ -174,15 +181,38 @@ def started(rows: pa.Table, models) -> pa.Table:
     return made.rows(chain, bucket, model.k, coded.dictionary, coded.indices.to_numpy().astype(np.int64))
 
 
+def _met(docs: pa.Table, words: pa.Table, k: int) -> tuple[Bucket, pa.Array, np.ndarray, np.ndarray]:
+    """The documents of a bucket, its words, the number of each pair's word among them, and the corpus counts of each pair's word."""
+    held, vocabulary = Bucket.of_rows(docs), pa.concat_arrays(words["word"].chunks)
+    number = pc.index_in(held.words, value_set=vocabulary).to_numpy().astype(np.int64)
+    counts = flat(words["counts"]).to_numpy().reshape(words.num_rows, -1)[:, :k]
+    return held, vocabulary, number, counts[number]
+
+
 def swept(docs: pa.Table, words: pa.Table, models, totals, sweep: int) -> pa.Table:
     """A bucket's rows after a sweep. ``words`` has the corpus counts of the bucket's words, ``totals`` by chain the topic totals
     and the number of terms."""
     if not docs.num_rows:
         return ARROW.empty_table()
     chain, bucket = docs["chain"][0].as_py(), docs["bucket"][0].as_py()
-    model, held = models[chain], Bucket.of_rows(docs)
-    vocabulary = pa.concat_arrays(words["word"].chunks)
-    number = pc.index_in(held.words, value_set=vocabulary).to_numpy().astype(np.int64)
-    counts = flat(words["counts"]).to_numpy().reshape(words.num_rows, -1)[:, :model.k]
-    held.z = held.draw(counts[number], *totals[chain], model, sweep)
+    model = models[chain]
+    held, vocabulary, number, w = _met(docs, words, model.k)
+    held.z = held.draw(w, *totals[chain], model, sweep)
     return held.rows(chain, bucket, model.k, vocabulary, number)
+
+
+FEATURES = "chain int, doc_id long, g array<double>"
+
+
+def featured(docs: pa.Table, words: pa.Table, models, totals) -> pa.Table:
+    """``FEATURES``: the mean block probabilities of a bucket's documents."""
+    names = [c.split()[0] for c in FEATURES.split(", ")]
+    if not docs.num_rows:
+        return pa.table([pa.nulls(0, pa.int32()), pa.nulls(0, pa.int64()), pa.nulls(0, pa.list_(pa.float64()))], names=names)
+    chain = docs["chain"][0].as_py()
+    model = models[chain]
+    held, _, _, w = _met(docs, words, model.k)
+    g = held.mean_weights(w, *totals[chain], model)
+    return pa.table([
+        pa.array(np.full(len(g), chain), pa.int32()), pa.array(held.doc_ids, pa.int64()),
+        lists(g.ravel(), np.full(len(g), model.k), pa.float64())], names=names)

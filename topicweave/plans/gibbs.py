@@ -166,6 +166,13 @@ def _sweep_of(models: Sequence[Model], totals: dict[int, tuple[np.ndarray, int]]
     return step
 
 
+def _features_of(models: Sequence[Model], totals: dict[int, tuple[np.ndarray, int]]):
+    def step(docs: pa.Table, words: pa.Table) -> pa.Table:
+        return packed.featured(docs, words, models, totals)
+
+    return step
+
+
 class Chains:
     """Samplers side by side. Their state is a written table, so that a run can stop, resume and lose executors.
 
@@ -255,17 +262,25 @@ class Chains:
         rows = self.word_sums().where("first").groupBy("chain").agg(F.count("*").alias("terms"), *sums).collect()
         return {r["chain"]: (np.array([r[f"_{i}"] for i in range(self.models[r["chain"]].k)], np.float64), r["terms"]) for r in rows}
 
+    def _by_bucket(self, step, schema: str) -> DataFrame:
+        """``step`` of the documents of each bucket and the corpus counts of its words."""
+        keys = ["chain", "bucket"]
+        docs = self.documents().repartition(self._groups(), *keys).groupBy(*keys)
+        words = self.word_sums().select(*keys, "word", "counts").repartition(self._groups(), *keys).groupBy(*keys)
+        return docs.cogroup(words).applyInArrow(step, schema)
+
     def run(self, sweeps: int, keep_from: int | None = None, keep_every: int = 1) -> "Chains":
         for _ in range(sweeps):
-            sweep, keys = self.sweep + 1, ["chain", "bucket"]
-            step = _sweep_of(self.models, self.totals(), sweep)
-            docs = self.documents().repartition(self._groups(), *keys).groupBy(*keys)
-            words = self.word_sums().select(*keys, "word", "counts").repartition(self._groups(), *keys).groupBy(*keys)
-            self._write(docs.cogroup(words).applyInArrow(step, packed.SCHEMA), sweep)
+            sweep = self.sweep + 1
+            self._write(self._by_bucket(_sweep_of(self.models, self.totals(), sweep), packed.SCHEMA), sweep)
             if keep_from is not None and sweep >= keep_from and (sweep - keep_from) % keep_every == 0:
                 self.store_sample()
         return self
 
+    def block_features(self) -> DataFrame:
+        """``chain, doc_id, g``: each document's mean block probability, weighted by copies, under the present state."""
+        return self._by_bucket(_features_of(self.models, self.totals()), packed.FEATURES)
+
     def state(self) -> DataFrame:
         """The state by pairs ``chain, doc_id, word, n, c`` of the block chains, or tokens ``chain, doc_id, word, rep, z``."""
         models, block = self.models, self.models[0].grain == "block"
