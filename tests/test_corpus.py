@@ -95,3 +95,24 @@ def test_trace_round_trip(spark):
     assert sorted((r["run"], r["step"], tuple(r["eta"]), r["loss"]) for r in got.collect()) == sorted(
         (r["run"], r["step"], tuple(r["eta"]), r["loss"]) for r in df.collect()
     )
+
+
+def test_class_ids_of_values_with_one_beginning(spark):
+    from topicweave.operators import corpus
+
+    values = [f"src{i}" for i in range(300)] + ["", "é", "src", "z"]
+    rows = spark.createDataFrame([(v,) for v in values * 2], "category string").repartition(5)
+    got = {r["category"]: r["y"] for r in corpus.class_ids(rows).collect()}
+    assert got == {v: i for i, v in enumerate(sorted(values, key=lambda v: v.encode()))}
+
+
+def test_article_flow_keeps_recoded_categories(spark):
+    from topicweave.plans import clean
+
+    words = [f"term{i}" for i in range(12)]
+    rows = [(1, "Term0's cats " + " ".join(words), "", "A"), (2, "", " ".join(words) + " cats cat", "ARTS & CULTURE"), (3, "short", "text", "A"),
+            (4, " ".join(words), "gone", "A")]
+    articles = spark.createDataFrame(rows, "doc_id bigint, headline string, description string, category string")
+    got = {(r["doc_id"], r["word"]): (r["category"], r["n"]) for r in clean.article_counts(articles, bad_ids=[4]).collect()}
+    assert {d for d, _ in got} == {1, 2} and got[1, "term0"] == ("A", 2) and got[2, "cat"] == ("ARTS", 1) and got[1, "cat"] == ("A", 1)
+    assert len(got) == 26

@@ -89,3 +89,13 @@ def test_digamma(spark):
     known = {0.1: -10.423754940411076, 1.0: -0.5772156649015329, 5.5: 1.6110931485817512}
     for x, want in known.items():
         assert abs(spark.range(1).select(vectors.digamma(F.lit(x))).first()[0] - want) < 1e-7
+
+
+def test_markup_of_real_pages(spark):
+    page = (
+        """<!DOCTYPE html><!-- a > b <p>no</p> --><a title="x > y" href='z>"'>one</a><SCRIPT type="a">if (1 < 2) { "</p>" }</SCRIPT>"""
+        """<style>p > b {}</style> it&#8217;s &#x1F600;&#X41;&#66; &amp;#65; &#0;&#99999999;&#xD800; 1 < 2 &copy; &amp;lt; <br/ >end<""")
+    got = one(spark, page, text.html_text)
+    assert " ".join(got.split()) == "one it’s \U0001f600AB &#65; &#0;&#99999999;&#xD800; 1 < 2 © &lt; end<"
+    assert one(spark, "<a " + "b='c' " * 50_000 + ">x", text.html_text).strip() == "x"
+    assert one(spark, "", text.html_text) == ""

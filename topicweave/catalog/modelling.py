@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicweave.catalog.base import (
-    CORPUS, ORACLES, blocks_sql, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
+    CORPUS, ORACLES, blocks_sql, hash32, long_sql, query, quoted, sweep_sql, token_sweep_sql, tokens_sql, uniform,
 )
 from topicweave.catalog.cleaning import corpus_of, documents
 from topicweave.functions import draws, vectors
@@ -437,6 +437,53 @@ def _(spark, folder):
     return state.select("doc_id", "word", *[F.round(F.col("c")[i], 6).alias(f"c{i}") for i in range(2)])
 
 
+ONLINE, UPDATES = variational.Online(), 3
+
+
+def online_sql(k: int, updates: int, prior: float = 0.5) -> str:
+    """CTEs of the first mini-batch updates: topic tables ``t0`` to ``t<updates>`` of ``(word, l0, ...)``."""
+    cells, how = range(k), ONLINE
+    out = f"""{CORPUS},
+bt AS (SELECT *, {hash32('doc_id', quoted('batch'))} % {how.batches} AS batch FROM corpus),
+docs AS (SELECT count(DISTINCT doc_id)::DOUBLE AS total FROM bt),
+used AS (SELECT batch, row_number() OVER (ORDER BY batch) - 1 AS place, count(*) OVER () AS batches, docs
+  FROM (SELECT batch, count(DISTINCT doc_id)::DOUBLE AS docs FROM bt GROUP BY batch)),
+t0 AS (SELECT word, {', '.join(f"{uniform('word', quoted(str(i)), quoted('7'))} + 0.5::DOUBLE AS l{i}" for i in cells)} FROM (SELECT DISTINCT word FROM corpus))"""
+    for s in range(updates):
+        share = (how.delay + s) ** -how.decay
+        out += f""",
+sum{s} AS (SELECT {', '.join(f'sum(l{i}) AS a{i}' for i in cells)} FROM t{s}),
+w{s} AS (SELECT word, {', '.join(f"exp({digamma_sql(f'l{i}')} - {digamma_sql(f'a{i}')}) AS w{i}" for i in cells)} FROM t{s}, sum{s}),
+r{s}_0 AS (SELECT doc_id, {', '.join(f'{prior}::DOUBLE + sum(n) / {k}::DOUBLE AS s{i}' for i in cells)} FROM bt JOIN used USING (batch)
+  WHERE place = {s} % batches GROUP BY doc_id)"""
+        for r in range(how.rounds):
+            whole = " + ".join(f"s{i}" for i in cells)
+            raw = ", ".join(f"exp({digamma_sql(f's{i}')} - {digamma_sql(f'({whole})')}) * w{i} AS p{i}" for i in cells)
+            total = " + ".join(f"p{i}" for i in cells)
+            out += f""",
+q{s}_{r} AS (SELECT doc_id, word, {', '.join(f'p{i} * (n / ({total})) AS p{i}' for i in cells)}
+  FROM (SELECT doc_id, word, n, {raw} FROM bt JOIN r{s}_{r} USING (doc_id) JOIN w{s} USING (word))),
+r{s}_{r + 1} AS (SELECT doc_id, {', '.join(f'{prior}::DOUBLE + sum(p{i}) AS s{i}' for i in cells)} FROM q{s}_{r} GROUP BY doc_id)"""
+        out += f""",
+f{s} AS (SELECT word, {', '.join(f'sum(p{i}) AS p{i}' for i in cells)} FROM q{s}_{how.rounds - 1} GROUP BY word),
+t{s + 1} AS (SELECT word, {', '.join(f"{1.0 - share!r}::DOUBLE * l{i} + {share!r}::DOUBLE * ({prior}::DOUBLE + total / docs * coalesce(p{i}, 0)) AS l{i}" for i in cells)}
+  FROM t{s} LEFT JOIN f{s} USING (word), docs, used WHERE place = {s} % batches)"""
+    return out
+
+
+@query("m5_online_updates", f"WITH {online_sql(2, UPDATES)} SELECT word, round(l0, 6) AS l0, round(l1, 6) AS l1 FROM t{UPDATES}")
+def _(spark, folder):
+    topics = variational.fit_online(written_corpus(spark, folder), variational.Settings(k=2), ONLINE, updates=UPDATES)
+    return topics.select("word", *[F.round(F.col("l")[i], 6).alias(f"l{i}") for i in range(2)])
+
+
+@query("m5_online")
+def _(spark, folder):
+    """All passes; its first updates are those of ``m5_online_updates``."""
+    topics = variational.fit_online(written_corpus(spark, folder), variational.Settings(k=2), ONLINE, PASSES)
+    return topics.select("word", *[F.round(F.col("l")[i], 6).alias(f"l{i}") for i in range(2)])
+
+
 @query("w5_categorical_draw", f"""WITH {GAMMA}, l AS ({long_sql(K, 'g', 'doc_id', lambda i: f'g{i}', 'p')}),
 c AS (SELECT doc_id, topic, sum(p) OVER (PARTITION BY doc_id ORDER BY topic) AS cum,
              sum(p) OVER (PARTITION BY doc_id) AS total, {uniform('doc_id', quoted('draw'))} AS u FROM l)

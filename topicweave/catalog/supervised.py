@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from topicweave.catalog.base import CORPUS, blocks_sql, hash32, query, quoted, sweep_sql, tokens_sql, uniform
 from topicweave.catalog.modelling import start_state
-from topicweave.operators import diagnostics, heads
+from topicweave.operators import corpus, diagnostics, heads
 from topicweave.plans import gibbs
 from topicweave.session import materialize, scratch_path
 from topicweave.sources import samples as store
@@ -337,3 +337,61 @@ def _(spark, folder):
     rows = features(spark, folder)
     eta = heads.fit_softmax_sgd(rows, K)
     return heads.softmax_loss(rows, eta, K).withColumn("loss", F.round("loss", 6))
+
+
+# -- many topics and classes: the class is the document's source -------------------------------------------------------------
+
+WIDE = 20
+WIDE_MODEL = gibbs.Model(k=WIDE)
+WIDE_ETA = [[((7 * i + 3 * c) % 11 - 5) / 10 for c in range(WIDE)] for i in range(WIDE)]
+
+
+def wide_inputs(spark, folder):
+    """Block probabilities of the first sweep with 20 topics, and the documents' sources as classes."""
+    blocks = gibbs.block_probabilities(gibbs.weigh(start_state(spark, folder, WIDE_MODEL), WIDE_MODEL), WIDE)
+    classes = corpus.with_class_ids(table(spark, folder, "documents").select("doc_id", F.col("source").alias("category")))
+    return materialize(blocks, "blocks"), classes.select("doc_id", "y")
+
+
+WIDE_GRADIENT = f"""{CORPUS},
+{tokens_sql(WIDE, '7')},
+{blocks_sql(WIDE, 'z0', 'b0')},
+{sweep_sql(WIDE, 'b0', 's1', 1)},
+lab AS (SELECT doc_id, (dense_rank() OVER (ORDER BY source) - 1)::INT AS y FROM documents),
+e AS (SELECT i::INT AS i, c::INT AS c, ((7 * i + 3 * c) % 11 - 5)::DOUBLE / 10 AS eta
+  FROM (SELECT unnest(range(0, {WIDE})) AS i), (SELECT unnest(range(0, {WIDE})) AS c)),
+pl AS (SELECT doc_id, word, n, doc_n, unnest(range(0, {WIDE}))::INT AS i,
+  unnest([{', '.join(f'p{i}' for i in range(WIDE))}]) / ({' + '.join(f'p{i}' for i in range(WIDE))}) AS q FROM p_s1),
+ins AS (SELECT doc_id, word, c, any_value(n) AS n, sum(q * exp(eta / doc_n)) AS inside FROM pl JOIN e USING (i) GROUP BY doc_id, word, c),
+logs AS (SELECT doc_id, c, sum(n * ln(inside)) AS l FROM ins GROUP BY doc_id, c),
+chance AS (SELECT doc_id, c, exp(l - max(l) OVER d) / sum(exp(l)) OVER d * exp(max(l) OVER d) AS chance FROM logs WINDOW d AS (PARTITION BY doc_id)),
+slopes AS (SELECT doc_id, i, c, sum(pl.n * q * exp(eta / doc_n) / doc_n / inside) AS d
+  FROM pl JOIN e USING (i) JOIN ins USING (doc_id, word, c) GROUP BY doc_id, i, c),
+means AS (SELECT doc_id, i, sum(n * q) / sum(n) AS g FROM pl GROUP BY doc_id, i)"""
+
+
+@query("a26_wide", f"""WITH {WIDE_GRADIENT}
+SELECT i AS topic, c AS class, round(sum((y = c)::INT * g - chance * d), 5) AS gradient
+FROM slopes JOIN means USING (doc_id, i) JOIN chance USING (doc_id, c) JOIN lab USING (doc_id) GROUP BY i, c""")
+def _(spark, folder):
+    blocks, own = wide_inputs(spark, folder)
+    return heads.slda_gradient(blocks, own, WIDE_ETA, WIDE).withColumn("gradient", F.round("gradient", 5))
+
+
+@query("a22_wide", f"""WITH {WIDE_GRADIENT}
+SELECT y, a.i AS topic, b.i AS other, round(sum(a.g * b.g), 7) AS gram
+FROM means a JOIN means b USING (doc_id) JOIN lab USING (doc_id) GROUP BY y, a.i, b.i""")
+def _(spark, folder):
+    blocks, own = wide_inputs(spark, folder)
+    stats = heads.class_statistics(heads.mean_probabilities(blocks, WIDE).join(own, "doc_id"), WIDE, "y")
+    cells = stats.select("y", F.posexplode("gram").alias("at", "gram"))
+    return cells.select(
+        "y", F.floor(F.col("at") / WIDE).cast("int").alias("topic"), (F.col("at") % WIDE).cast("int").alias("other"), F.round("gram", 7).alias("gram"))
+
+
+@query("m10_wide")
+def _(spark, folder):
+    """All 20 steps; SQL would join each block with each topic and class in every step, so a test holds it against a plain version."""
+    blocks, own = wide_inputs(spark, folder)
+    eta, history = heads.fit_slda(blocks, own, WIDE)
+    return spark.createDataFrame(list(enumerate(history)), "step int, loglik double").withColumn("norm", F.lit(float(sum(e * e for r in eta for e in r))))

@@ -61,7 +61,7 @@ def vectors_of(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """A column of arrays of ``width`` numbers as a matrix."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     flat = [c.flatten().to_numpy(zero_copy_only=False) for c in chunks]
-    return (np.concatenate(flat) if flat else np.zeros(0)).reshape(-1, width)
+    return (np.concatenate(flat) if flat else np.zeros(0)).reshape(len(column), width)
 
 
 # -- supervised topic likelihood ---------------------------------------------------------------------------------------
