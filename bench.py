@@ -58,7 +58,7 @@ def main() -> None:
         ("block_k31", gibbs.Model(k=31)),
     ):
         chain = gibbs.Chain(spark, model)
-        timed(f"{name}_start", lambda: chain.start(counts))
+        timed(f"{name}_start", lambda: chain.start(counts, written=True))
         if model.k < 10:
             chain.run(1)
         timed(f"{name}_sweep", lambda: chain.run(1))

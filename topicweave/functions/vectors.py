@@ -63,10 +63,6 @@ def softmax(parts: list[Column]) -> list[Column]:
     return [r / whole for r in raised]
 
 
-def permute(vector: Column, order: list[int]) -> Column:
-    return F.array(*[vector[i] for i in order])
-
-
 def norm2(parts: list[Column]) -> Column:
     return F.sqrt(total([p * p for p in parts]))
 
