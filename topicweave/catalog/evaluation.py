@@ -228,7 +228,6 @@ def _(spark, folder):
 STUDY_SWEEPS, STUDY_FROM = 30, 21
 SETS = [study.CategorySet("lang", c) for c in (("en", "fr"), ("en", "fr", "de"), ("en", "fr", "de", "es"))] + [
     study.CategorySet("source", tuple(f"src{i}" for i in range(5)))]
-SEEDS = (7, 8, 9)
 
 
 def study_sql(one: study.CategorySet, seed: int = 7) -> str:
@@ -259,14 +258,6 @@ def _(spark, folder):
     return study.run_study(spark, folder, SETS, STUDY_SWEEPS, STUDY_FROM)
 
 
-@query("m20_seeds", f"""SELECT topics, category, count(*)::BIGINT AS seeds, round(avg(accuracy), 9) AS mean, min(accuracy) AS least, max(accuracy) AS most
-FROM ({' UNION ALL '.join(study_sql(one, seed) for one in SETS for seed in SEEDS)}) GROUP BY topics, category""")
-def _(spark, folder):
-    rows = study.run_study(spark, folder, SETS, STUDY_SWEEPS, STUDY_FROM, SEEDS)
-    return rows.groupBy("topics", "category").agg(
-        F.count("*").alias("seeds"), F.round(F.avg("accuracy"), 9).alias("mean"), F.min("accuracy").alias("least"), F.max("accuracy").alias("most"))
-
-
 L2_SETS, RESTARTS, FOLDS, STEPS = SETS[1:], 100, 5, 200
 
 
