@@ -167,3 +167,15 @@ def test_links_of_rows_that_share_an_id(spark):
     got = ngram_join.joined(spark.createDataFrame(docs + [(None, c)], "doc_id bigint, text string")).collect()
     assert sorted((r["doc_id"], r["n_links"]) for r in got if r["doc_id"] is not None) == brute_links(docs)[0]
     assert [r["n_links"] for r in got if r["doc_id"] is None] == [None]
+
+
+def test_histograms_never_hide_a_shared_shingle():
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for n in (1, 7, 400, 20_000):
+        a = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], draw.integers(0, 1 << 63, n, dtype=np.uint64)]))
+        x, y = (np.frombuffer(ngram_join.histogram(s, 256), np.uint8).astype(int) for s in (a, b))
+        assert x.sum() == len(a) and np.minimum(x, y).sum() >= len(np.intersect1d(a, b))
+    assert ngram_join.histogram(np.arange(256 * 300, dtype=np.uint64), 256) is None

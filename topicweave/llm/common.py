@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicweave.session import scratch_path
+
 #: Words are runs of anything but these six ASCII characters.
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -62,6 +65,19 @@ def temporary_names(columns: Sequence[str], *wanted: str) -> list[str]:
     return out
 
 
+def bucket_number(spark: SparkSession, rows: int, bucket_rows: int = 1 << 16) -> int:
+    """Buckets for a table of ``rows`` rows: no fewer than the partitions of a shuffle, so joins keep the table where it lies."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // bucket_rows))
+
+
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """Like ``materialize``, dealt into buckets by ``key``: joins and windows on this column don't shuffle the table again."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key).write.format("parquet").option("path", scratch_path(spark, label))
+    dealt.bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
 def slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes in a text column without nulls; a longer text is a slice of its own."""
     ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
