@@ -3,9 +3,11 @@
 from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from topicweave.functions.digests import md5_heads
 from topicweave.operators import heads, packed
 from topicweave.plans import gibbs, study
 
@@ -125,3 +127,81 @@ def test_members_and_classes_of_sets(spark):
     rows = study.members(docs, sets)
     assert sorted(map(tuple, rows.collect())) == [(0, 1, "b"), (0, 2, "a"), (1, 3, "y"), (1, 4, "y"), (2, 1, "b"), (2, 3, "c")]
     assert sorted(map(tuple, study.set_classes(rows).collect())) == [(0, "a", 0), (0, "b", 1), (1, "y", 0), (2, "b", 0), (2, "c", 1)]
+
+
+def test_digests_of_many_texts():
+    texts = ["x" * i for i in range(130)] + ["é" * i for i in range(70)] + [f"{i}|wörter|1|7.{i}" for i in range(5000)]
+    want = [int(md5(t.encode()).hexdigest()[:8], 16) for t in texts]
+    assert md5_heads(pa.array(texts)).tolist() == want and md5_heads(pa.array(texts)[100:]).tolist() == want[100:]
+    assert md5_heads(pa.array([], pa.string())).tolist() == []
+
+
+def test_buckets_grow_with_the_corpus_instead_of_their_number():
+    """Each bucket holds the frequent words once more, so ten times the pairs must not mean ten times the rows of words."""
+    small, large, huge = (gibbs.bucket_number(n, 1, 12) for n in (2_000_000, 20_000_000, 2_000_000_000))
+    assert small == 31 and large == 48 and huge == -(-2_000_000_000 // gibbs.MOST_PAIRS)
+    assert gibbs.bucket_number(0, 1, 4) == gibbs.bucket_number(10, 3, 4) == 1
+    assert gibbs.bucket_number(40_000_000, 4, 12) == 12
+
+
+def test_the_state_holds_text_only_with_words(spark, monkeypatch):
+    monkeypatch.setattr(gibbs, "BUCKET_PAIRS", 40)
+    chain = gibbs.Chain(spark, gibbs.Model(k=3)).start(table(spark, corpus())).run(1)
+    assert [f.name for f in chain.documents().schema.fields if "string" in f.dataType.simpleString()] == []
+    assert chain._rows().where("doc_id is not null and word is not null").count() == 0
+
+
+def test_labels_meet_documents_in_their_bucket(spark, monkeypatch):
+    """Rows of words have no document; a join on it would send them all to one task."""
+    monkeypatch.setattr(gibbs, "BUCKET_PAIRS", 40)
+    plans, write = [], gibbs.Chains._write
+    monkeypatch.setattr(gibbs.Chains, "_write", lambda self, rows, sweep: (plans.append(rows._jdf.queryExecution().toString()), write(self, rows, sweep))[1])
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id bigint, y int")
+    chain = gibbs.Chain(spark, gibbs.Model(k=2)).start(table(spark, corpus()), labels)
+    assert " Join" not in plans[0] and "SortMergeJoin" not in plans[0]
+    found = sorted((r["doc_id"], r["y"]) for r in chain.documents().where("doc_id < 4").collect() if r["doc_id"] != 2)
+    assert found == [(0, 1), (0, 1), (1, 0), (3, None)] and chain.documents().count() == 24
+
+
+def test_documents_without_id_count_for_words_only(spark):
+    rows = corpus() + [(None, "w1", 3), (None, "only", 2)]
+    chain = gibbs.Chain(spark, gibbs.Model(k=3)).start(table(spark, rows))
+    assert chain.word_sums().where("word = 'only'").count() == 1
+    weighted = {(r["doc_id"], r["word"]): r["p"] for r in chain.weights().collect()}
+    state = spark.createDataFrame(
+        [(d, w, n, np.bincount([int(md5("|".join(str(x) for x in (d, w, r, 7) if x is not None).encode()).hexdigest()[:8], 16) % 3
+                                for r in range(1, n + 1)], minlength=3).tolist()) for d, w, n in rows], "doc_id bigint, word string, n bigint, c array<int>")
+    want = {(r["doc_id"], r["word"]): r["p"] for r in gibbs.weigh(state, chain.model).collect()}
+    assert weighted.keys() == want.keys() and all(np.allclose(weighted[x], want[x], atol=1e-12) for x in want)
+    assert chain.run(1).word_sums().where("word = 'only'").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["label", "ratio"])
+def test_weights_of_a_chain_equal_the_column_expressions(spark, monkeypatch, kind):
+    monkeypatch.setattr(packed, "CELLS", 64)
+    eta, labels = [[1.5, -1.0, 0.3], [-0.7, 0.9, 0.1], [0.2, 0.4, -2.0]], spark.createDataFrame([(d, d % 3) for d in range(15)], "doc_id bigint, y int")
+    model = gibbs.Model(k=3, head=gibbs.Head(kind, tuple(map(tuple, eta))))
+    chain = gibbs.Chain(spark, model).start(table(spark, corpus()), labels)
+    boost = gibbs.label_boost(eta, 3) if kind == "label" else gibbs.ratio_boost(eta, 3)
+    want = {(r["doc_id"], r["word"]): r for r in gibbs.weigh(chain.state(), model, boost, labels).collect()}
+    got = chain.weights().collect()
+    assert len(got) == len(want)
+    for r in got:
+        same = want[r["doc_id"], r["word"]]
+        assert np.allclose(r["p"], same["p"], rtol=1e-10) and (r["n"], r["doc_n"]) == (same["n"], same["doc_n"])
+
+
+def test_likelihood_of_a_chain_needs_no_stored_probabilities(spark, monkeypatch):
+    monkeypatch.setattr(gibbs, "BUCKET_PAIRS", 40)
+    monkeypatch.setattr(packed, "CELLS", 64)
+    chain = gibbs.Chain(spark, gibbs.Model(k=4)).start(table(spark, corpus()))
+    labels = spark.createDataFrame([(d, d % 3) for d in range(15)] + [(3, 0), (4, 2), (5, None)], "doc_id bigint, y int")
+    blocks = gibbs.block_probabilities(gibbs.weigh(chain.state(), chain.model), 4)
+    eta = np.random.default_rng(8).normal(size=(4, 3)).tolist()
+    known = labels.where("y is not null")
+    assert np.allclose(heads.slda_loglik(chain, labels, eta, 4).first(), heads.slda_loglik(blocks, known, eta, 4).first())
+    got, want = (heads.as_matrix(heads.slda_gradient(source, known, eta, 4), 4, 3) for source in (chain, blocks))
+    assert np.allclose(got, want)
+    assert "double" not in chain.bound(labels)[0].schema.simpleString()
+    (eta1, history1), (eta2, history2) = (heads.fit_slda(source, known, 4, 3, steps=3) for source in (chain, blocks))
+    assert np.allclose(eta1, eta2) and np.allclose(history1, history2)

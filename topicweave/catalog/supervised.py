@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topicweave.catalog.base import CORPUS, blocks_sql, hash32, query, quoted, sweep_sql, tokens_sql, uniform
-from topicweave.catalog.modelling import start_state
+from topicweave.catalog.modelling import started
 from topicweave.operators import corpus, diagnostics, heads
 from topicweave.plans import gibbs
 from topicweave.session import materialize, scratch_path
@@ -20,7 +20,7 @@ RESTARTS, FOLDS, STEPS = 100, 5, 200
 
 def blocks(spark, folder):
     """Block probabilities of the first sweep, written once."""
-    return materialize(gibbs.block_probabilities(gibbs.weigh(start_state(spark, folder, MODEL), MODEL), K), "blocks")
+    return materialize(gibbs.block_probabilities(started(spark, folder, MODEL).weights(), K), "blocks")
 
 
 def labels(spark, folder):
@@ -28,9 +28,8 @@ def labels(spark, folder):
 
 
 def features(spark, folder):
-    return materialize(
-        heads.mean_probabilities(blocks(spark, folder), K).join(labels(spark, folder), "doc_id"), "features"
-    )
+    """Mean block probabilities of the labelled documents; they are averaged where the blocks are weighed."""
+    return materialize(started(spark, folder, MODEL).block_features().join(labels(spark, folder), "doc_id").drop("chain"), "features")
 
 
 BLOCKS = f"""{CORPUS},
@@ -159,7 +158,7 @@ j AS (SELECT dl.*, f.g0, f.g1, f.y FROM dl JOIN f USING (doc_id))"""
 @query("a25_label_likelihood", f"""WITH {LIKELIHOOD}
 SELECT round(sum(CASE y WHEN 0 THEN {S0} ELSE {S1} END - ln(exp(l0) + exp(l1))), 5) AS loglik, count(*)::BIGINT AS docs FROM j""")
 def _(spark, folder):
-    rows = heads.slda_loglik(blocks(spark, folder), labels(spark, folder), ETA, K)
+    rows = heads.slda_loglik(started(spark, folder, MODEL), labels(spark, folder), ETA, K)
     return rows.withColumn("loglik", F.round("loglik", 5))
 
 
@@ -167,7 +166,7 @@ def _(spark, folder):
     f"SELECT {i} AS topic, {c} AS class, round(sum(CASE WHEN y = {c} THEN g{i} ELSE 0 END "
     f"- exp(l{c}) / (exp(l0) + exp(l1)) * d{i}_{c}), 5) AS gradient FROM j" for i in range(K) for c in range(K)))
 def _(spark, folder):
-    rows = heads.slda_gradient(blocks(spark, folder), labels(spark, folder), ETA, K)
+    rows = heads.slda_gradient(started(spark, folder, MODEL), labels(spark, folder), ETA, K)
     return rows.withColumn("gradient", F.round("gradient", 5))
 
 
@@ -197,7 +196,7 @@ ASCENT = 20
     f"SELECT {s} AS step, round(loglik, 5) AS loglik, "
     + ", ".join(f"(SELECT round(e{i}{c}, 6) FROM a{ASCENT}) AS e{i}{c}" for i in range(K) for c in range(K)) + f" FROM r{s}" for s in range(ASCENT + 1)))
 def _(spark, folder):
-    eta, history = heads.fit_slda(blocks(spark, folder), labels(spark, folder), K, steps=ASCENT)
+    eta, history = heads.fit_slda(started(spark, folder, MODEL), labels(spark, folder), K, steps=ASCENT)
     last = [F.round(F.lit(eta[i][c]), 6).alias(f"e{i}{c}") for i in range(K) for c in range(K)]
     return spark.createDataFrame(list(enumerate(history)), "step int, loglik double").select("step", F.round("loglik", 5).alias("loglik"), *last)
 
@@ -347,10 +346,10 @@ WIDE_ETA = [[((7 * i + 3 * c) % 11 - 5) / 10 for c in range(WIDE)] for i in rang
 
 
 def wide_inputs(spark, folder):
-    """Block probabilities of the first sweep with 20 topics, and the documents' sources as classes."""
-    blocks = gibbs.block_probabilities(gibbs.weigh(start_state(spark, folder, WIDE_MODEL), WIDE_MODEL), WIDE)
+    """A chain with 20 topics before its first sweep, and the documents' sources as classes. Its block probabilities, 20 numbers for each
+    pair of document and word, are nowhere stored."""
     classes = corpus.with_class_ids(table(spark, folder, "documents").select("doc_id", F.col("source").alias("category")))
-    return materialize(blocks, "blocks"), classes.select("doc_id", "y")
+    return started(spark, folder, WIDE_MODEL), classes.select("doc_id", "y")
 
 
 WIDE_GRADIENT = f"""{CORPUS},
@@ -374,16 +373,16 @@ means AS (SELECT doc_id, i, sum(n * q) / sum(n) AS g FROM pl GROUP BY doc_id, i)
 SELECT i AS topic, c AS class, round(sum((y = c)::INT * g - chance * d), 5) AS gradient
 FROM slopes JOIN means USING (doc_id, i) JOIN chance USING (doc_id, c) JOIN lab USING (doc_id) GROUP BY i, c""")
 def _(spark, folder):
-    blocks, own = wide_inputs(spark, folder)
-    return heads.slda_gradient(blocks, own, WIDE_ETA, WIDE).withColumn("gradient", F.round("gradient", 5))
+    chain, own = wide_inputs(spark, folder)
+    return heads.slda_gradient(chain, own, WIDE_ETA, WIDE).withColumn("gradient", F.round("gradient", 5))
 
 
 @query("a22_wide", f"""WITH {WIDE_GRADIENT}
 SELECT y, a.i AS topic, b.i AS other, round(sum(a.g * b.g), 7) AS gram
 FROM means a JOIN means b USING (doc_id) JOIN lab USING (doc_id) GROUP BY y, a.i, b.i""")
 def _(spark, folder):
-    blocks, own = wide_inputs(spark, folder)
-    stats = heads.class_statistics(heads.mean_probabilities(blocks, WIDE).join(own, "doc_id"), WIDE, "y")
+    chain, own = wide_inputs(spark, folder)
+    stats = heads.class_statistics(chain.block_features().join(own, "doc_id"), WIDE, "y")
     cells = stats.select("y", F.posexplode("gram").alias("at", "gram"))
     return cells.select(
         "y", F.floor(F.col("at") / WIDE).cast("int").alias("topic"), (F.col("at") % WIDE).cast("int").alias("other"), F.round("gram", 7).alias("gram"))
@@ -392,6 +391,6 @@ def _(spark, folder):
 @query("m10_wide")
 def _(spark, folder):
     """All 20 steps; SQL would join each block with each topic and class in every step, so a test holds it against a plain version."""
-    blocks, own = wide_inputs(spark, folder)
-    eta, history = heads.fit_slda(blocks, own, WIDE)
+    chain, own = wide_inputs(spark, folder)
+    eta, history = heads.fit_slda(chain, own, WIDE)
     return spark.createDataFrame(list(enumerate(history)), "step int, loglik double").withColumn("norm", F.lit(float(sum(e * e for r in eta for e in r))))
