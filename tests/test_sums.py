@@ -130,3 +130,35 @@ def test_online_topics_keep_their_mass_and_decay(spark, toy):
     # the first update of a single batch has weight 1, so nothing of the start is left
     assert abs(sum(sum(r["l"]) for r in whole) - (10 + 5 * 2 * 0.5)) < 1e-9
     assert variational.fit_online(toy, settings, how, passes=2).count() == 5
+
+
+def test_online_batches_look_up_a_word_once_for_each_bucket(spark):
+    """Documents lie packed, so rows of a mini-batch are words, not pairs."""
+    rows = [(d, f"w{w}", 1 + (d + w) % 3) for d in range(40) for w in range(6)]
+    counts = spark.createDataFrame(rows, "doc_id bigint, word string, n bigint")
+    made, update = [], variational.online_update
+
+    def seen(topics, batch, *rest):
+        made.append((batch.where("word is not null").count(), batch.where("word is null").count()))
+        return update(topics, batch, *rest)
+
+    try:
+        variational.online_update = seen
+        got = variational.fit_online(counts, variational.Settings(k=2), variational.Online(batches=1), updates=1)
+    finally:
+        variational.online_update = update
+    assert made == [(6, 1)]
+    l, w = {f"w{w}": np.array([(int(md5(f"w{w}|{i}|7".encode()).hexdigest()[:8], 16) + 0.5) / 2**32 + 0.5 for i in (0, 1)]) for w in range(6)}, {}
+    total = sum(l.values())
+    for word, row in l.items():
+        w[word] = np.exp(variational.digamma(row) - variational.digamma(total))
+    sums = {word: np.zeros(2) for word in l}
+    for d in range(40):
+        own = [(word, n) for e, word, n in rows if e == d]
+        share = np.full(2, 0.5 + sum(n for _, n in own) / 2)
+        for _ in range(3):
+            p = {word: n * (x := np.exp(variational.digamma(share) - variational.digamma(share.sum())) * w[word]) / x.sum() for word, n in own}
+            share = 0.5 + sum(p.values())
+        for word in p:
+            sums[word] += p[word]
+    assert all(np.allclose(r["l"], 0.5 + sums[r["word"]]) for r in got.collect())
