@@ -127,3 +127,22 @@ def test_query_returns_every_section(spark):
     got = queries.op8_token_counts(spark, SF)
     want = sum(max(1, len(token_counts.line_starts((r["text"] or "").encode()))) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     assert got.columns == ["doc_id", "section", "start", "end", "n_tokens", "n_crossing"] and got.count() == want
+
+
+def test_known_parts_are_looked_through_once_a_batch(monkeypatch):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from topicweave.llm import token_files
+
+    encoder = token_files.PartEncoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2", known=6)
+    whole = token_files.PartEncoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2")
+    looked, find = [], pc.index_in
+    monkeypatch.setattr(pc, "index_in", lambda *a, **k: (looked.append(1), find(*a, **k))[1])
+    batches = [["a b c d", "a b"], ["c e f g", "b"], ["h i j k l", "g e"], ["g e a", ""], ["m n o p q r s t", "g"]]
+    for batch in batches:
+        ids, lengths = encoder.encode(pa.array(batch), 0)
+        at = len(looked)
+        want = [whole.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in batch]
+        assert ids.tolist() == [i for x in want for i in x] and lengths.tolist() == [len(x) for x in want] and at == len(looked)
+    assert len(looked) == len(batches)

@@ -79,21 +79,26 @@ class PartEncoder:
         return np.fromiter(chain.from_iterable(made), self.kind, int(lengths.sum())), lengths
 
     def _find(self, different: pa.Array) -> np.ndarray:
-        """The places of parts among the known ones; learns those that are new."""
+        """The places of different parts among the known ones; learns those that are new, which come last. The known ones are looked
+        through once."""
         at = pc.index_in(different, value_set=self.known)
-        new = different.filter(at.is_null())
-        if not len(new):
+        missing = at.is_null().to_numpy(zero_copy_only=False)
+        if not missing.any():
             return at.to_numpy()
+        new, old = different.filter(pa.array(missing)), at.drop_null().to_numpy()
+        places = np.empty(len(different), np.int64)
+        places[~missing] = old
         if len(self.known) + len(new) > self.most and len(self.known):
-            old = at.drop_null().to_numpy()
             lengths = np.diff(self.begins)[old]
             self.ids = self.ids[ragged(self.begins[old], lengths)]
             self.known, self.begins = self.known.take(pa.array(old)), np.concatenate([[0], np.cumsum(lengths)])
+            places[~missing] = np.arange(len(old))
+        places[missing] = len(self.known) + np.arange(len(new))
         ids, lengths = self._made([" " + part for part in new.to_pylist()])
         self.known = pa.concat_arrays([self.known, new])
         self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(lengths)])
         self.ids = np.concatenate([self.ids, ids])
-        return pc.index_in(different, value_set=self.known).to_numpy()
+        return places
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, ``end_id`` behind each, and how many each has."""
