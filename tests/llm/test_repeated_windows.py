@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import clashing, empty, odd, workers_find_the_package  # noqa: F401
 from pyspark.sql import functions as F
@@ -106,3 +107,16 @@ def test_odd_tables(spark, odd, clashing, empty):
     assert rw.without_repeats(empty).collect() == []
     blank = spark.createDataFrame([(None, None), (1, " ")], "doc_id long, text string")
     assert found(rw.without_repeats(blank)) == [(1, 0, 0, ""), (None, 0, 0, "")]
+
+
+def test_packed_strings_travel_well_compressed():
+    """Overlapping runs of words of many texts take less than at the codec's default level."""
+    draw, gathered = random.Random(4), rw.Gathered()
+    words = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(3000)]
+    for d in range(400):
+        text = draw.choices(words, k=120)
+        for start in range(0, 90, 10):
+            gathered.add(" ".join(text[start:start + 30]).encode(), (d, hash((d,)), start), start)
+    row = gathered.sent(1).to_pylist()[0]
+    raw = pa.Codec("zstd").decompress(row["blob"], row["size"], asbytes=True)
+    assert row["strings"] == len(gathered.number) and len(row["blob"]) < len(pa.Codec("zstd").compress(raw, asbytes=True))

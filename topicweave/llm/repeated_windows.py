@@ -38,6 +38,8 @@ ABSENT = np.uint64(2**64 - 1)
 LONGEST = 64
 #: Bytes of packed strings that a task gathers before it sends them.
 GATHERED = 32 << 20
+#: Level of compression of packed strings, most of what the job shuffles: an eighth less than at the default, for about 25 seconds a GB.
+LEVEL = 5
 TEXT_BYTES = 4 << 20
 PLACE = "doc_id long, text_hash long"
 
@@ -159,7 +161,7 @@ class Gathered:
         blobs, sizes, counts = [], [], []
         for group in np.split(order, begins[1:]) if len(order) else []:
             blob = places[group].T.tobytes() + b"\n".join(strings[i] for i in group) + b"\n"
-            blobs.append(pa.Codec("zstd").compress(blob, asbytes=True))
+            blobs.append(pa.Codec("zstd", compression_level=LEVEL).compress(blob, asbytes=True))
             sizes.append(len(blob))
             counts.append(len(group))
         return pa.RecordBatch.from_pydict(
