@@ -205,3 +205,22 @@ def test_likelihood_of_a_chain_needs_no_stored_probabilities(spark, monkeypatch)
     assert "double" not in chain.bound(labels)[0].schema.simpleString()
     (eta1, history1), (eta2, history2) = (heads.fit_slda(source, known, 4, 3, steps=3) for source in (chain, blocks))
     assert np.allclose(eta1, eta2) and np.allclose(history1, history2)
+
+
+def test_words_travel_by_shard_not_one_by_one(spark, monkeypatch):
+    """A sweep moves a row for each bucket and shard of words, and arrays of documents as bytes; sums by word stay exact."""
+    monkeypatch.setattr(gibbs, "BUCKET_PAIRS", 40)
+    monkeypatch.setattr(gibbs, "SHARD_PAIRS", 40)
+    rows = corpus() + [(900, "w1", 300), (901, "ключ", 2)]
+    chain = gibbs.Chain(spark, gibbs.Model(k=3)).start(table(spark, rows)).run(1)
+    assert chain.buckets > 2 and chain.shards > 2
+    assert chain._word_rows().count() <= chain.buckets * chain.shards < chain.word_sums().count()
+    assert {f.dataType.simpleString() for f in chain.documents().select("number", "n", "z").schema.fields} == {"binary"}
+    want = {}
+    for r in chain.state().collect():
+        want[r["word"]] = want.get(r["word"], np.zeros(3, int)) + np.array(r["c"])
+    sums = chain.word_sums().collect()
+    assert all(r["counts"] == want[r["word"]].tolist() for r in sums)
+    assert sorted(r["word"] for r in sums if r["first"]) == sorted(want) == sorted(r["word"] for r in chain.word_sums(only_first=True).collect())
+    totals, terms = chain.totals()[0]
+    assert terms == len(want) and totals.tolist() == sum(want.values()).tolist()
