@@ -116,3 +116,11 @@ def test_article_flow_keeps_recoded_categories(spark):
     got = {(r["doc_id"], r["word"]): (r["category"], r["n"]) for r in clean.article_counts(articles, bad_ids=[4]).collect()}
     assert {d for d, _ in got} == {1, 2} and got[1, "term0"] == ("A", 2) and got[2, "cat"] == ("ARTS", 1) and got[1, "cat"] == ("A", 1)
     assert len(got) == 26
+
+
+def test_rare_terms_go_without_sorting_the_counts(spark):
+    counts = spark.createDataFrame([(d, w, 1) for d in range(40) for w in (f"own{d}", f"pair{d // 2}", "all")], "doc_id bigint, word string, n bigint")
+    kept = corpus.drop_rare_terms(counts)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted({r["word"] for r in kept.collect()}) == sorted({"all", *(f"pair{i}" for i in range(20))}) and kept.count() == 80
