@@ -1,9 +1,12 @@
+import os
+import time
+
 from pyspark.sql import functions as F
 
 from conftest import SF
 from topicweave.operators import corpus, skew
 from topicweave.plans import clean
-from topicweave.session import scratch_path
+from topicweave.session import CLEANED, materialize, remove_table, scratch_path, write_table
 from topicweave.sources import articles, samples, triplets
 from topicweave.sources.lines import numbered_lines
 from topicweave.sources.tables import table
@@ -124,3 +127,41 @@ def test_rare_terms_go_without_sorting_the_counts(spark):
     plan = kept._jdf.queryExecution().sparkPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted({r["word"] for r in kept.collect()}) == sorted({"all", *(f"pair{i}" for i in range(20))}) and kept.count() == 80
+
+
+def test_filtered_counts_move_once(spark):
+    """Rare terms leave where the counts are; rows without id are one document, and rows that share an id another."""
+    words = " ".join(f"w{i}" for i in range(12))
+    texts = [(1, f"{words} mine mine"), (1, f"{words} twice"), (1, f"{words} twice"), (2, f"{words} both"), (None, f"{words} both nobody"),
+             (None, f"{words} nobody"), (0, f"{words} zero"), (None, f"{words} zero"), (3, None), (4, "short text")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    kept = clean.filtered_counts(docs)
+    want = corpus.drop_rare_terms(clean.term_counts(docs, 10)).select("doc_id", "word", "n")
+    assert sorted(map(str, kept.select("doc_id", "word", "n").collect())) == sorted(map(str, want.collect()))
+    assert {r["word"] for r in kept.collect()} == {*words.split(), "both", "zero"}
+    named = docs.where("doc_id is not null").withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert clean.filtered_counts(named).where("doc_id = 'd1' and word = 'w1'").first()["n"] == 3
+    kept.collect()
+    plan = kept._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")
+    # the counting, which terms and counts share, the terms, and the rare rows: no other shuffle of counts
+    assert "ReusedExchange" in plan[0] and plan[2].count("Exchange hashpartitioning") == 4 and "SortMergeJoin" not in plan[2]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    rows = spark.range(5000).withColumn("k", F.col("id") % 700).groupBy("k").agg(F.count("*").alias("n")).repartition(3, "n")
+    before, path = shuffled(), scratch_path(spark, "left")
+    found = materialize(rows, "left")
+    write_table(rows, path, by=("n",))
+    until = time.time() + 20  # they go in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(CLEANED, None) is None
+    assert found.count() == 700 and sorted(r["n"] for r in spark.read.parquet(path).select("n").distinct().collect()) == [7, 8]
+    remove_table(spark, path)
+    assert not os.path.exists(path)

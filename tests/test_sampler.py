@@ -224,3 +224,22 @@ def test_words_travel_by_shard_not_one_by_one(spark, monkeypatch):
     assert sorted(r["word"] for r in sums if r["first"]) == sorted(want) == sorted(r["word"] for r in chain.word_sums(only_first=True).collect())
     totals, terms = chain.totals()[0]
     assert terms == len(want) and totals.tolist() == sum(want.values()).tolist()
+
+
+def test_numbers_of_a_bucket_are_as_wide_as_needed():
+    for values, width in (([0, 3, 255], 1), ([0, 256, 7], 2), ([70_000, 1, 2], 4), ([], 1)):
+        lengths = np.array([1, 0, len(values) - 1]) if values else np.array([0, 0])
+        column = packed.as_bytes(np.array(values, np.int64), lengths)
+        assert [len(x) for x in column.to_pylist()] == (lengths * width).tolist()
+        assert packed.of_bytes(pa.chunked_array([column[:1], column[1:]]), len(values)).tolist() == values
+    words, at = pa.array(["a", "b"]), np.arange(2)
+    for counts, kind in ((np.array([[1, 2], [3, 4]]), pa.int32()), (np.array([[1, 2**31], [3, 4]]), pa.int64())):
+        table = packed.words_table(words, at, counts)
+        assert table["counts"].type.value_type == kind and packed.joined_words([table, table])[2].tolist() == [*counts.tolist()] * 2
+
+
+def test_a_started_chain_keeps_no_counts_beside_its_state(spark, tmp_path):
+    chain = gibbs.Chain(spark, gibbs.Model(k=3), str(tmp_path / "chain")).start(table(spark, corpus()))
+    assert sorted(x.name for x in (tmp_path / "chain").iterdir()) == ["state-0"]
+    chain.start(table(spark, corpus()).repartition(2), written=True).run(1)
+    assert chain.gamma().count() == 23
