@@ -212,3 +212,19 @@ def test_vector_helpers(spark):
     ).first()
     assert got["p"] == [4.0, 1.0, 2.0] and got["m"] == 2 and got["h"] == [0.0, 1.0, 0.0]
     assert abs(got["l"] - math.log(math.e + math.e**2 + math.e**4)) < 1e-12
+
+
+def test_packed_variational_steps_equal_the_column_expressions(spark, monkeypatch):
+    monkeypatch.setattr(gibbs, "BUCKET_PAIRS", 40)
+    monkeypatch.setattr(gibbs, "SHARD_PAIRS", 40)
+    draw = np.random.default_rng(4)
+    pairs = {(int(d), f"w{int(w)}") for d, w in zip(draw.integers(0, 25, 170), draw.integers(0, 30, 170))}
+    rows_ = [(d, w, 1 + (7 * d + len(w)) % 3) for d, w in sorted(pairs)] + [(None, "w1", 2), (None, "only", 1), (77, "ключ", 400)]
+    counts, settings = spark.createDataFrame(rows_, "doc_id bigint, word string, n bigint").repartition(3), variational.Settings(k=3)
+    slow = variational.start(counts, settings)
+    for passes in range(4):
+        got = {(r["doc_id"], r["word"], r["n"]): r["c"] for r in variational.fit(counts, settings, passes).collect()}
+        want = {(r["doc_id"], r["word"], r["n"]): r["c"] for r in slow.collect()}
+        assert got.keys() == want.keys() and len(got) == len(rows_) - (2 if passes else 0)
+        assert all(np.allclose(got[x], want[x], rtol=1e-9, atol=1e-12) for x in want)
+        slow = variational.update(slow, settings)
