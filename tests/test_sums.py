@@ -162,3 +162,14 @@ def test_online_batches_look_up_a_word_once_for_each_bucket(spark):
         for word in p:
             sums[word] += p[word]
     assert all(np.allclose(r["l"], 0.5 + sums[r["word"]]) for r in got.collect())
+
+
+def test_ascent_looks_at_one_length_while_it_holds(spark, monkeypatch):
+    _, _, df, own = blocks(spark, documents=12, k=4, classes=3)
+    packed, seen, plain = matrix_sums.packed_blocks(df, own).cache(), [], matrix_sums.likelihood
+    monkeypatch.setattr(matrix_sums, "likelihood", lambda rows, etas, **how: (seen.append(len(etas)), plain(rows, etas, **how))[1])
+    matrix_sums.ascend(packed, 4, 3, steps=3, rate=1.0)
+    assert seen == [1, 1, 1, 1]
+    seen.clear()
+    matrix_sums.ascend(packed, 4, 3, steps=2, rate=4000.0, tries=4)
+    assert seen[:3] == [1, 1, 3] and len(seen) <= 8
